@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import blocks, bpe, formatting
+from kaghamar.llm import blocks, bpe, formatting, langid, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _language_model(spark: SparkSession, sf_dir: str) -> langid.Centroids:
+    return langid.fit(langid.labelled_sample(_table(spark, sf_dir, "labels"), _table(spark, sf_dir, "corpus_raw")))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True languages of the paragraphs whose label is absent or wrong or which hold several languages."""
+    return langid.wrong_labels(_table(spark, sf_dir, "corpus_raw"), _language_model(spark, sf_dir))
+
+
+def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph's segments with language and confidence."""
+    return langid.segments(_table(spark, sf_dir, "corpus_raw"), _language_model(spark, sf_dir))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of each record of corpus_raw and raw_chunks."""
     text = formatting.formatting_copies(_table(spark, sf_dir, "corpus_raw"), "para_id", "text")
@@ -28,6 +42,16 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.unionByName(json.select(F.lit("raw_chunks").alias("tab"), F.col("chunk_id").alias("row_id"), "copies"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs that are lists, tables or junk."""
+    return quality.text_quality(_table(spark, sf_dir, "corpus_raw")).filter(F.col("kind").isin("list", "table", "junk")).select("para_id", "kind")
+
+
+def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph's figures of form and the kind they show."""
+    return quality.text_quality(_table(spark, sf_dir, "corpus_raw"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     return bpe.encode_documents(_table(spark, sf_dir, "documents"))
@@ -39,8 +63,12 @@ def p9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_segments": p2_segments,
     "p5_found": p5_found,
     "p5_records": p5_records,
+    "p7_found": p7_found,
+    "p7_statistics": p7_statistics,
     "p8_ids": p8_ids,
     "p9_blocks": p9_blocks,
 }
