@@ -29,7 +29,7 @@ KINDS = ("prose", "list", "table", "junk")
 
 (LOWER, UPPER, LATIN1, DIGIT, SPACE, NEWLINE, TAB, STOP, COMMA, CELL, INLINE, BRACKET, DASH, CODE, BROKEN, MARK, LEADER, WIDE, SKIP) = range(19)
 CLASSES = 19
-STOPS, COMMAS, CELLS, INLINES, DASHES = ".!?։…؟。:", ",،՝`", "|;؛", "•»>#/\\·→▪●◦«<", "-–—‐‒―"
+STOPS, COMMAS, CELLS, INLINES, DASHES = ".!?։…؟。:", ",،՝`", "|;؛", "•>#/\\·→▪●◦<", "-–—‐‒―"
 BLOCKS = {"chars": CLASSES, "words": 8, "lengths": 8, "phrases": 6, "lines": 8}
 #: How much each block's divergence counts.
 WEIGHTS = {"chars": 1.6, "words": 1.5, "lengths": 0.6, "phrases": 1.0, "lines": 1.0}
@@ -61,7 +61,7 @@ def class_table() -> np.ndarray:
     for point in [*range(0x2500, 0x25A0), 0xFFFD, *range(0x80, 0xA0), *range(0xA1, 0xAB), *range(0xAC, 0xB7), *range(0xB8, 0xBB), *range(0xBC, 0xC0)]:
         table[point] = BROKEN
     table[0xAD] = SKIP
-    for chars, cls in ((" ", SPACE), ("\t", TAB), ("\n", NEWLINE), ("\r", SKIP), (STOPS, STOP), (COMMAS, COMMA), (CELLS, CELL), ("՛՞՜՚'’‘", SKIP), (INLINES, INLINE), ("()[]\"“”„", BRACKET), (DASHES, DASH), (_CODE_SIGNS, CODE)):
+    for chars, cls in ((" ", SPACE), ("\t", TAB), ("\n", NEWLINE), ("\r", SKIP), (STOPS, STOP), (COMMAS, COMMA), (CELLS, CELL), ("՛՞՜՚'’‘", SKIP), (INLINES, INLINE), ("()[]\"“”„«»", BRACKET), (DASHES, DASH), (_CODE_SIGNS, CODE)):
         for c in chars:
             table[ord(c)] = cls
     return table
@@ -69,26 +69,25 @@ def class_table() -> np.ndarray:
 
 VOWELS = np.frombuffer("aeiouy".encode("utf-32-le"), np.uint32)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
-_STEP = np.uint64(0x100000001B3)
-_steps = np.ones(1, np.uint64)
+_STEP, _BACK = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
+_steps: dict[int, np.ndarray] = {}
 
 
-def step_powers(upto: int) -> np.ndarray:
-    global _steps
-    if len(_steps) <= upto:
-        have = np.full(max(upto + 1, 2 * len(_steps)), _STEP, np.uint64)
+def step_powers(step: int, upto: int) -> np.ndarray:
+    have = _steps.get(step, np.ones(1, np.uint64))
+    if len(have) <= upto:
+        have = np.full(max(upto + 1, 2 * len(have)), step, np.uint64)
         have[0] = 1
-        _steps = np.multiply.accumulate(have)
-    return _steps
+        _steps[step] = have = np.multiply.accumulate(have)
+    return have
 
 
 def word_hashes(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of code points; equal spans hash alike wherever they stand."""
-    powers = step_powers(len(points))
     mixed = (points.astype(np.uint64) + np.uint64(1)) * _SPREAD
     mixed ^= mixed >> np.uint64(32)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[: len(points)], dtype=np.uint64)])
-    h = (sums[end] - sums[begin]) * powers[len(points) - begin]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * step_powers(_STEP, len(points))[: len(points)], dtype=np.uint64)])
+    h = (sums[end] - sums[begin]) * step_powers(_BACK, len(points))[begin]
     return h ^ (h >> np.uint64(29))
 
 
@@ -130,6 +129,11 @@ class Figures:
         if upper.any():
             upper[1:] &= cls[:-1] != LOWER
             cls[upper] = LOWER
+        # » parts entries where it closes no quotation
+        close = low == 0xBB
+        if close.any():
+            spare = np.bincount(row_of[close], minlength=rows) > 1 + np.bincount(row_of[low == 0xAB], minlength=rows)
+            cls[close & spare[row_of]] = INLINE
         # runs of three or more full stops are leaders, of three or more spaces are gaps
         if size > 2:
             for mark, into in ((low == 46, LEADER), (cls == SPACE, WIDE)):
@@ -310,6 +314,13 @@ def divergences(figures: Figures) -> np.ndarray:
         own, theirs = _entropy(mine[k]), _entropy(prof[k])
         for j in range(len(names)):
             total[:, j] += w * (_entropy((mine[k] + prof[k][j]) / 2) - (own + theirs[j]) / 2)
+    # a form without the marks that make it up is out of the question
+    inline, ends = figures.char_counts[:, INLINE], figures.stop_lines
+    for j, (_, form) in enumerate(names):
+        if form.startswith(("tags", "trail")):
+            total[inline < 2, j] = np.inf
+        elif form.startswith("lines"):
+            total[(figures.lines < 3) | (2 * ends > figures.lines), j] = np.inf
     return total
 
 
