@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import blocks, bpe, formatting, langid, quality
+from kaghamar.llm import blocks, bpe, formatting, langid, lookalikes, quality
+from kaghamar.session import cut_lineage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,24 @@ def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.segments(_table(spark, sf_dir, "corpus_raw"), _language_model(spark, sf_dir))
 
 
+def _lookalike_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = lookalikes.observations(_table(spark, sf_dir, "corpus_raw"), "corpus_raw", "para_id", "text", skip_junk=True)
+    answers = lookalikes.observations(_table(spark, sf_dir, "qa_merged"), "qa_merged", "pair_id", "output", skip_junk=False)
+    return lookalikes.altered_tokens(cut_lineage(corpus.unionByName(answers)))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that hold a character standing for the usual one, or a superfluous one."""
+    return _lookalike_tokens(spark, sf_dir).select("tab", "row_id").distinct()
+
+
+def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of both tables in one form, and whether it was altered."""
+    altered = cut_lineage(_lookalike_tokens(spark, sf_dir))
+    corpus = lookalikes.canonical_texts(_table(spark, sf_dir, "corpus_raw"), "corpus_raw", "para_id", "text", altered)
+    return corpus.unionByName(lookalikes.canonical_texts(_table(spark, sf_dir, "qa_merged"), "qa_merged", "pair_id", "output", altered))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of each record of corpus_raw and raw_chunks."""
     text = formatting.formatting_copies(_table(spark, sf_dir, "corpus_raw"), "para_id", "text")
@@ -65,6 +84,8 @@ def p9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p2_segments": p2_segments,
+    "p4_found": p4_found,
+    "p4_texts": p4_texts,
     "p5_found": p5_found,
     "p5_records": p5_records,
     "p7_found": p7_found,
