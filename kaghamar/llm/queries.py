@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import blocks, bpe, formatting, langid, lookalikes, quality
+from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, quality
 from kaghamar.session import cut_lineage
 
 
@@ -13,6 +13,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every paragraph and answer."""
+    corpus = abuse.abuse_scores(_table(spark, sf_dir, "corpus_raw"), "para_id", "text", "source").withColumnRenamed("para_id", "row_id")
+    answers = abuse.abuse_scores(_table(spark, sf_dir, "qa_merged"), "pair_id", "output", "source").withColumnRenamed("pair_id", "row_id")
+    return corpus.select(F.lit("corpus_raw").alias("tab"), "row_id", "source", "score").unionByName(answers.select(F.lit("qa_merged").alias("tab"), "row_id", "source", "score"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abusive, hateful or sexually explicit paragraphs and answers."""
+    return p1_scores(spark, sf_dir).filter(F.col("score") >= abuse.THRESHOLD).select("tab", "row_id")
+
+
+def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, cases and their rate for each table and source (null source included)."""
+    case = (F.col("score") >= abuse.THRESHOLD).cast("long")
+    return p1_scores(spark, sf_dir).groupBy("tab", "source").agg(F.count("*").alias("n_rows"), F.sum(case).alias("n_cases"), F.avg(case.cast("double")).alias("rate"))
+
+
 def _language_model(spark: SparkSession, sf_dir: str) -> langid.Centroids:
     return langid.fit(langid.labelled_sample(_table(spark, sf_dir, "labels"), _table(spark, sf_dir, "corpus_raw")))
 
@@ -82,6 +100,9 @@ def p9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_scores": p1_scores,
+    "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_segments": p2_segments,
     "p4_found": p4_found,
