@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, quality
+from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, pairs, quality
 from kaghamar.session import cut_lineage
 
 
@@ -45,6 +45,13 @@ def p2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.segments(_table(spark, sf_dir, "corpus_raw"), _language_model(spark, sf_dir))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defects of the pairs of both tables."""
+    columns = ["pair_id", "instruction", "output"]
+    both = _table(spark, sf_dir, "aya_armenian").select(*columns).unionByName(_table(spark, sf_dir, "armenian_qa_qwen").select(*columns))
+    return pairs.pair_defects(both).distinct()
+
+
 def _lookalike_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = lookalikes.observations(_table(spark, sf_dir, "corpus_raw"), "corpus_raw", "para_id", "text", skip_junk=True)
     answers = lookalikes.observations(_table(spark, sf_dir, "qa_merged"), "qa_merged", "pair_id", "output", skip_junk=False)
@@ -105,6 +112,7 @@ QUERIES = {
     "p1_rates": p1_rates,
     "p2_found": p2_found,
     "p2_segments": p2_segments,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_texts": p4_texts,
     "p5_found": p5_found,
