@@ -145,7 +145,7 @@ def _latin(units: Units) -> np.ndarray:
 
 
 #: A common romanisation of Armenian, from which seed sentences of hy in Latin letters are made.
-ROMAN = dict(zip("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ", "a b g d e z e y t zh i l kh ts k h dz gh ch m y n sh o ch p j r s v t r c v p q o f".split()), ու="u", և="ev")
+ROMAN = dict(zip("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ", "a b g d e z e y t zh i l kh ts k h dz gh ch m y n sh o ch p j r s v t r c v p q o f".split())) | {"ու": "u", "\u0587": "ev"}
 
 
 def romanised(text: str) -> str:

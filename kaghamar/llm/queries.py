@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, pairs, quality
+from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, pairs, personal, quality
 from kaghamar.session import cut_lineage
 
 
@@ -106,6 +106,16 @@ def p9_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.fill_blocks(bpe.token_counts(_table(spark, sf_dir, "documents")))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the documents that hold personal information, by kind."""
+    return personal.personal_lines(_table(spark, sf_dir, "documents")).distinct()
+
+
+def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with typed placeholders in place of personal information."""
+    return personal.redacted(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_scores": p1_scores,
@@ -121,5 +131,7 @@ QUERIES = {
     "p7_statistics": p7_statistics,
     "p8_ids": p8_ids,
     "p9_blocks": p9_blocks,
+    "p10_found": p10_found,
+    "p10_texts": p10_texts,
 }
 ORACLE: dict[str, str] = {}
