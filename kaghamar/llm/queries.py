@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, pairs, personal, quality
+from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, overlap, pairs, personal, quality
 from kaghamar.session import cut_lineage
 
 
@@ -86,6 +86,22 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.unionByName(json.select(F.lit("raw_chunks").alias("tab"), F.col("chunk_id").alias("row_id"), "copies"))
 
 
+def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.overlaps(_table(spark, sf_dir, "armbench_train"), _table(spark, sf_dir, "armbench_eval"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a training and an evaluation item with the same or nearly the same instruction."""
+    found = _overlaps(spark, sf_dir)
+    return found.select(F.least("train_id", "eval_id").alias("item_lo"), F.greatest("train_id", "eval_id").alias("item_hi"))
+
+
+def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping items per split and source."""
+    found = cut_lineage(_overlaps(spark, sf_dir))
+    return overlap.overlap_report(found, _table(spark, sf_dir, "armbench_train"), _table(spark, sf_dir, "armbench_eval"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs that are lists, tables or junk."""
     return quality.text_quality(_table(spark, sf_dir, "corpus_raw")).filter(F.col("kind").isin("list", "table", "junk")).select("para_id", "kind")
@@ -127,6 +143,8 @@ QUERIES = {
     "p4_texts": p4_texts,
     "p5_found": p5_found,
     "p5_records": p5_records,
+    "p6_found": p6_found,
+    "p6_report": p6_report,
     "p7_found": p7_found,
     "p7_statistics": p7_statistics,
     "p8_ids": p8_ids,
