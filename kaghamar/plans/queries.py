@@ -1,4 +1,393 @@
-"""The registered queries over the reference's own operators."""
+"""The registered queries over the reference's own operators; their SQL is in `sql`."""
 
-QUERIES = {}
-ORACLE = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kaghamar.functions import text as X
+from kaghamar.operators import corpus, metrics, parsing, qa, tokens
+from kaghamar.plans.sql import ORACLE
+from kaghamar.session import cut_lineage
+from kaghamar.sources import readers
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: Letters and digits of the fixture language beside the default characters, for the Latin variant.
+LATIN_KEEP = X.CLEAN_KEEP + "A-Za-z"
+Q, A = F.col("instruction"), F.col("output")
+
+
+def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[run.__name__] = run
+    return run
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three answer tables with their file's rank."""
+    columns = ["pair_id", "instruction", "input", "output", "source"]
+    out = None
+    for rank, name in enumerate(("armenian_qa_qwen", "qa_merged", "aya_armenian")):
+        part = table(spark, sf_dir, name).select(*columns, F.lit(rank).alias("rank"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _flagged(spark: SparkSession, sf_dir: str, dedup: bool = True) -> DataFrame:
+    return corpus.flag_paragraphs(table(spark, sf_dir, "corpus_raw"), table(spark, sf_dir, "source_order"), "para_id", dedup=dedup)
+
+
+@query
+def corpus_paragraph_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.paragraphs(table(spark, sf_dir, "documents").filter("text is not null"), "doc_id", "text")
+
+
+@query
+def corpus_line_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.paragraphs(table(spark, sf_dir, "documents").filter("text is not null"), "doc_id", "text", separator="\n", least=80)
+
+
+@query
+def corpus_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.cleaned(table(spark, sf_dir, "corpus_raw")).select("para_id", "clean")
+
+
+@query
+def corpus_clean_latin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.cleaned(table(spark, sf_dir, "corpus_raw"), keep=LATIN_KEEP).select("para_id", "clean")
+
+
+@query
+def corpus_priority_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flagged(spark, sf_dir).filter("fate = 'kept'").select("para_id", "source", "pos", F.col("chars_out").alias("n_chars"))
+
+
+@query
+def corpus_no_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flagged(spark, sf_dir, dedup=False).filter("fate = 'kept'").select("para_id", "source", "pos", F.col("chars_out").alias("n_chars"))
+
+
+@query
+def corpus_source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.source_stats(_flagged(spark, sf_dir), table(spark, sf_dir, "source_order"))
+
+
+@query
+def corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.totals(corpus.source_stats(_flagged(spark, sf_dir), table(spark, sf_dir, "source_order")))
+
+
+@query
+def exact_doc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.md5("text").alias("digest"))
+    return docs.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).select("doc_id", "copies")
+
+
+@query
+def bitext_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct Armenian lines of instruction-output pairs taken as a bitext."""
+    rows = table(spark, sf_dir, "qa_merged").select(F.lit("hy").alias("src_lang"), Q.alias("src_text"), F.when(F.col("source").isNull(), "en").otherwise("hy").alias("tgt_lang"), A.alias("tgt_text"))
+    return readers.bitext_side(rows, "hy")
+
+
+@query
+def sft_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.merge_pairs(_pairs(spark, sf_dir), "rank", "pair_id").select("pair_id", "rank", "norm")
+
+
+@query
+def sft_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _pairs(spark, sf_dir)
+    kept = qa.merge_pairs(pairs, "rank", "pair_id").select("pair_id", F.lit(1).alias("is_kept"))
+    rows = pairs.withColumn("norm", X.norm_key(Q)).filter("norm <> ''").join(kept, "pair_id", "left")
+    return rows.groupBy(F.coalesce("source", F.lit("unknown")).alias("source")).agg(F.count("is_kept").alias("kept"), (F.count("*") - F.count("is_kept")).alias("dropped")).orderBy(F.desc("kept"), "source")
+
+
+@query
+def aya_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.aya_pairs(table(spark, sf_dir, "aya_armenian"), "instruction", "output", "source", "pair_id").select("pair_id", "instruction", "output")
+
+
+@query
+def aya_skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "aya_armenian").select(X.ws_clean(Q).alias("instruction"), X.ws_clean(A).alias("output"))
+    return rows.groupBy(corpus.first_reason(qa.aya_reasons(Q, A)).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def aya_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample per dataset, filter, keep the first of equal questions; with each dataset's yield."""
+    sample = cut_lineage(corpus.sample_per_group(table(spark, sf_dir, "aya_armenian"), "source", "pair_id", 200))
+    good = corpus.keep_first(qa.aya_pairs(sample, "instruction", "output", "source", "pair_id"), [X.norm_key(Q)], ["pair_id"])
+    pool = sample.groupBy("source").agg(F.count("*").alias("pool"))
+    kept = good.groupBy("source").agg(F.count("*").alias("kept")).withColumnRenamed("source", "s")
+    out = pool.join(kept, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
+    return out.select("source", "pool", "kept", F.round(F.col("kept") * 100 / F.greatest("pool", F.lit(1)), 3).alias("yield_pct"))
+
+
+@query
+def source_sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.sample_per_group(table(spark, sf_dir, "aya_armenian"), "source", "pair_id", 50).select("source", "pair_id")
+
+
+@query
+def letter_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "corpus_raw").filter("text is not null")
+    return rows.select("para_id", F.regexp_count("text", F.lit(f"[{X.SCRIPT_LETTERS}]")).alias("n_script"), X.script_ratio(F.col("text"), "A-Za-z").alias("latin_ratio"))
+
+
+@query
+def min_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.records(table(spark, sf_dir, "corpus_raw"), "text", 50, None, "para_id")
+
+
+@query
+def lang_filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readers.records(table(spark, sf_dir, "corpus_raw"), "text", 50, {"lang": "hy"}, "para_id")
+    return rows.select("para_id", (F.octet_length("text") + 2).alias("n_bytes"))
+
+
+@query
+def skip_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages; ns is the id modulo four."""
+    pages = table(spark, sf_dir, "documents").select((F.col("doc_id") % 4).cast("int").alias("ns"), "text")
+    reason = readers.wiki_reason(F.col("ns"), F.col("text"), X.strip_wiki_markup(F.col("text")))
+    return pages.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def wiki_markup_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", X.strip_wiki_markup(F.col("text")).alias("text"))
+
+
+@query
+def wiki_markup_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on text put into markup, so that each rule has work."""
+    marked = F.concat(F.lit("== Վերնագիր ==\n'''"), A, F.lit("'''<ref name=\"a\">b</ref> [[Category:X]] [[a|b|c]] [[plain]] [https://x.example/y label] {{t|u}} &nbsp; &#160;\n{| t\n| c\n|}\n| row\n * \n#:;\n\n\n\nend <br/>"))
+    return table(spark, sf_dir, "qa_merged").filter("output is not null").select("pair_id", X.strip_wiki_markup(marked).alias("text"))
+
+
+@query
+def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "raw_chunks").filter("chunk is not null").select("chunk_id", X.strip_legal_html(F.col("chunk")).alias("text"))
+
+
+@query
+def jsonl_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "raw_chunks")
+    body = X.strip(F.from_json("chunk", "body string", {"mode": "PERMISSIVE"})["body"])
+    return rows.select("chunk_id", body.alias("text")).filter(F.length("text") >= 50)
+
+
+@query
+def legal_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.legal_texts(table(spark, sf_dir, "raw_chunks"), "chunk", "chunk_id")
+
+
+@query
+def artifact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").filter(X.any_of(F.col("text"), X.ARTIFACTS)).select("doc_id")
+
+
+@query
+def blocklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir).filter(qa.appropriate(Q, F.col("input"), A)).select("pair_id")
+
+
+@query
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "qa_merged").filter("instruction is not null and output is not null")
+    return rows.select("pair_id", qa.chat(Q, F.col("input"), A).alias("chat"))
+
+
+@query
+def chat_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format(spark, sf_dir).select("pair_id", qa.response(F.col("chat")).alias("response"))
+
+
+@query
+def fence_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "qa_merged").filter("output is not null")
+    fenced = F.when(F.col("pair_id") % 2 == 0, F.concat(F.lit("```json\n"), A, F.lit("\n```"))).otherwise(A)
+    return rows.select("pair_id", X.strip_fences(fenced).alias("text"), X.fenced_part(fenced).alias("part"))
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question per nation: its region among the regions; the label's form changes with the key."""
+    regions = table(spark, sf_dir, "region").agg(F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda r: r["r_name"]).alias("names"))
+    rows = table(spark, sf_dir, "nation").crossJoin(F.broadcast(regions))  # one row of five names
+    rows = rows.join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    form = F.col("n_nationkey") % 3
+    return rows.select(
+        "n_nationkey", "n_regionkey", "r_name", F.col("names").alias("choices"), F.concat(F.lit(" Where is "), F.col("n_name"), F.lit("? ")).alias("question"),
+        F.when(form == 0, "int").otherwise("str").alias("label_kind"),
+        F.when(form == 1, (F.col("n_regionkey") + 1).cast("string")).when(form == 2, F.char(F.col("n_regionkey") + 65)).alias("label_str"),
+        F.when(form == 0, F.col("n_regionkey")).alias("label_int"),
+    )
+
+
+@query
+def label_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = qa.single_label(F.col("label_kind"), F.col("label_str"), F.col("label_int"), F.size("choices"))
+    return _nations(spark, sf_dir).select("n_nationkey", place.alias("place"))
+
+
+@query
+def mcq_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = qa.single_label(F.col("label_kind"), F.col("label_str"), F.col("label_int"), F.size("choices"))
+    instruction, output = qa.mcq(F.col("question"), F.col("choices"), place, F.when(F.col("n_nationkey") % 2 == 0, F.col("r_name")))
+    return _nations(spark, sf_dir).select("n_nationkey", instruction.alias("instruction"), output.alias("output"))
+
+
+def _exam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.get(F.array(F.lit(1), F.lit(6), F.lit(7), F.lit(2)), (F.col("n_nationkey") % 4).cast("int"))
+    return _nations(spark, sf_dir).select("question", F.when(F.col("n_nationkey") % 2 == 0, F.col("r_name")).alias("context"), F.when(F.col("n_nationkey") % 5 == 0, F.lit("Task")).alias("task"), "choices", "label_kind", "label_str", "label_int", kind.alias("task_type"))
+
+
+@query
+def exam_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.exam_pairs(_exam(spark, sf_dir), "exam_history")[0]
+
+
+@query
+def exam_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.exam_pairs(_exam(spark, sf_dir), "exam_history")[1]
+
+
+@query
+def public_service_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _nations(spark, sf_dir).select("question", F.col("r_name").alias("answer"), F.filter("choices", lambda c: c != F.col("r_name")).alias("distractors"))
+    return qa.public_service_pairs(rows)
+
+
+@query
+def four_choice_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _nations(spark, sf_dir).select("question", "label_kind", "label_str", "label_int", F.col("r_name").alias("passage"), *(F.get("choices", F.lit(i)).alias(f"option_{o}") for i, o in enumerate("abcd")))
+    return qa.four_choice_pairs(rows, [f"option_{o}" for o in "abcd"], "belebele-in-context-mcqa", "passage")
+
+
+@query
+def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "armbench_eval").select(Q.alias("question"), A.alias("answer"), F.col("input").alias("context"))
+    return qa.open_pairs(rows, "squad-in-context-qa", "context")
+
+
+@query
+def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = table(spark, sf_dir, "qa_merged").filter("output is not null").select(X.norm_key(Q).alias("norm"))
+    return corpus.without_done(table(spark, sf_dir, "aya_armenian").withColumn("norm", X.norm_key(Q)), done, "norm").select("pair_id")
+
+
+@query
+def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of each region's topic that the generated pairs don't cover yet."""
+    plan = metrics.batch_plan(spark, table(spark, sf_dir, "nation").select(F.format_string("topic%02d", "n_nationkey").alias("topic")), 5000, 15)
+    return corpus.without_done(plan, table(spark, sf_dir, "armenian_qa_qwen").filter("batch_key is not null"), "batch_key")
+
+
+@query
+def shard_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "raw_chunks").select(F.concat(F.date_format("fetched_at", "yyyy_"), F.col("chunk_id").cast("string"), F.lit(".parquet")).alias("name"), "chunk_id")
+    return readers.shards(names, names.filter("chunk_id % 3 = 0")).select("name")
+
+
+@query
+def char_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.char_vocabulary(table(spark, sf_dir, "corpus_raw"), "text")
+
+
+def _chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = cut_lineage(char_vocab(spark, sf_dir))
+    return tokens.encode_chars(table(spark, sf_dir, "qa_merged").select("pair_id", "output"), "output", vocabulary).select("pair_id", "tokens")
+
+
+@query
+def char_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chars(spark, sf_dir).select("pair_id", F.size("tokens").alias("n"), F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: (a * 31 + x) % 1000003).alias("checksum"))
+
+
+@query
+def char_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = cut_lineage(char_vocab(spark, sf_dir))
+    return tokens.decode_chars(_chars(spark, sf_dir), "tokens", vocabulary).select("pair_id", "text")
+
+
+@query
+def vocab_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus vocabulary, the chat tags after it, then the characters of the answers that it lacks."""
+    tagged = tokens.add_tokens(cut_lineage(char_vocab(spark, sf_dir)), [X.USER, X.ASSISTANT, X.END])
+    return tokens.add_tokens(cut_lineage(tagged), tokens.char_vocabulary(table(spark, sf_dir, "raw_chunks"), "chunk"))
+
+
+@query
+def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chars(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.sum(F.coalesce(F.size("tokens"), F.lit(0)).cast("long")).alias("n_tokens"))
+
+
+@query
+def token_split_90_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = tokens.split_tokens(cut_lineage(_chars(spark, sf_dir)), "pair_id", "tokens")
+    return parts.select("pair_id", "split", "start", F.size("tokens").alias("n"))
+
+
+@query
+def pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = tokens.context_blocks(cut_lineage(_chars(spark, sf_dir)), "pair_id", "tokens", 256)
+    return blocks.select("block_id", F.get("tokens", F.lit(0)).alias("first_token"), F.get("tokens", F.lit(256)).alias("last_token"), F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query
+def piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    chats = chat_format(spark, sf_dir)
+    return tokens.encode_pieces(chats, "pair_id", "chat", public_tokenizers.path("piece_bpe_32k.model"), (X.USER, X.ASSISTANT, X.END))
+
+
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model response per pair: its JSON line or array, fenced or broken by turns."""
+    rows = table(spark, sf_dir, "armenian_qa_qwen").filter("instruction is not null and output is not null")
+    line = F.to_json(F.struct(Q.alias("question"), A.alias("answer")))
+    turn = F.col("pair_id") % 4
+    text = F.when(turn == 0, line).when(turn == 1, F.concat(F.lit("```json\n["), line, F.lit("]\n```"))).when(turn == 2, F.concat(line, F.lit(" trailing"))).otherwise(F.concat(F.lit('Here: {"question": "'), Q, F.lit('", "answer": "'), A, F.lit('"}')))
+    return rows.select("pair_id", "instruction", "output", text.alias("response"))
+
+
+@query
+def response_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.parsed_pairs(_responses(spark, sf_dir), "pair_id", "response")
+
+
+@query
+def response_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.parsed_pairs(_responses(spark, sf_dir), "pair_id", "response", plain=True)
+
+
+@query
+def lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 12000).alias("step")).distinct()
+    return steps.select("step", F.round(metrics.learning_rate(F.col("step"), 3e-4, 3e-5, 500, 10000), 10).alias("lr"), X.clock(F.col("step")).alias("clock"), X.minutes(F.col("step")).alias("minutes"))
+
+
+@query
+def running_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.abs("value").alias("loss"))
+    best = metrics.running_best(rows, "user_id", "event_id", "loss")
+    return best.select("event_id", F.round("best_before", 6).alias("best_before"), "is_best", F.round(metrics.perplexity(F.col("loss")), 3).alias("perplexity"))
+
+
+@query
+def mean_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events")
+    return rows.groupBy("event_type").agg(F.count("value").alias("n"), F.round(F.avg(F.abs("value")), 6).alias("mean_loss"))
+
+
+@query
+def topk_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    return rows.select("vec_id", F.size(metrics.top_k(F.col("v"), 5)).alias("n"), F.round(F.array_min(metrics.top_k(F.col("v"), 5)), 6).alias("threshold"))
