@@ -11,6 +11,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Python's str.strip() and \s see it.
 WS_CHARS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -85,7 +86,7 @@ def strip_wiki_markup(c: Column) -> Column:
     return strip(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     """All named and numbered entities; Spark has no built-in for them."""
     return s.map(html.unescape, na_action="ignore")

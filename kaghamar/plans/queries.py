@@ -16,7 +16,6 @@ from kaghamar.sources import readers
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Letters and digits of the fixture language beside the default characters, for the Latin variant.
 LATIN_KEEP = X.CLEAN_KEEP + "A-Za-z"
-Q, A = F.col("instruction"), F.col("output")
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -91,7 +90,7 @@ def exact_doc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bitext_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct Armenian lines of instruction-output pairs taken as a bitext."""
-    rows = table(spark, sf_dir, "qa_merged").select(F.lit("hy").alias("src_lang"), Q.alias("src_text"), F.when(F.col("source").isNull(), "en").otherwise("hy").alias("tgt_lang"), A.alias("tgt_text"))
+    rows = table(spark, sf_dir, "qa_merged").select(F.lit("hy").alias("src_lang"), F.col("instruction").alias("src_text"), F.when(F.col("source").isNull(), "en").otherwise("hy").alias("tgt_lang"), F.col("output").alias("tgt_text"))
     return readers.bitext_side(rows, "hy")
 
 
@@ -104,7 +103,7 @@ def sft_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sft_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _pairs(spark, sf_dir)
     kept = qa.merge_pairs(pairs, "rank", "pair_id").select("pair_id", F.lit(1).alias("is_kept"))
-    rows = pairs.withColumn("norm", X.norm_key(Q)).filter("norm <> ''").join(kept, "pair_id", "left")
+    rows = pairs.withColumn("norm", X.norm_key(F.col("instruction"))).filter("norm <> ''").join(kept, "pair_id", "left")
     return rows.groupBy(F.coalesce("source", F.lit("unknown")).alias("source")).agg(F.count("is_kept").alias("kept"), (F.count("*") - F.count("is_kept")).alias("dropped")).orderBy(F.desc("kept"), "source")
 
 
@@ -115,15 +114,15 @@ def aya_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def aya_skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "aya_armenian").select(X.ws_clean(Q).alias("instruction"), X.ws_clean(A).alias("output"))
-    return rows.groupBy(corpus.first_reason(qa.aya_reasons(Q, A)).alias("reason")).agg(F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "aya_armenian").select(X.ws_clean(F.col("instruction")).alias("instruction"), X.ws_clean(F.col("output")).alias("output"))
+    return rows.groupBy(corpus.first_reason(qa.aya_reasons(F.col("instruction"), F.col("output"))).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query
 def aya_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample per dataset, filter, keep the first of equal questions; with each dataset's yield."""
     sample = cut_lineage(corpus.sample_per_group(table(spark, sf_dir, "aya_armenian"), "source", "pair_id", 200))
-    good = corpus.keep_first(qa.aya_pairs(sample, "instruction", "output", "source", "pair_id"), [X.norm_key(Q)], ["pair_id"])
+    good = corpus.keep_first(qa.aya_pairs(sample, "instruction", "output", "source", "pair_id"), [X.norm_key(F.col("instruction"))], ["pair_id"])
     pool = sample.groupBy("source").agg(F.count("*").alias("pool"))
     kept = good.groupBy("source").agg(F.count("*").alias("kept")).withColumnRenamed("source", "s")
     out = pool.join(kept, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
@@ -168,7 +167,7 @@ def wiki_markup_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def wiki_markup_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on text put into markup, so that each rule has work."""
-    marked = F.concat(F.lit("== Վերնագիր ==\n'''"), A, F.lit("'''<ref name=\"a\">b</ref> [[Category:X]] [[a|b|c]] [[plain]] [https://x.example/y label] {{t|u}} &nbsp; &#160;\n{| t\n| c\n|}\n| row\n * \n#:;\n\n\n\nend <br/>"))
+    marked = F.concat(F.lit("== Վերնագիր ==\n'''"), F.col("output"), F.lit("'''<ref name=\"a\">b</ref> [[Category:X]] [[a|b|c]] [[plain]] [https://x.example/y label] {{t|u}} &nbsp; &#160;\n{| t\n| c\n|}\n| row\n * \n#:;\n\n\n\nend <br/>"))
     return table(spark, sf_dir, "qa_merged").filter("output is not null").select("pair_id", X.strip_wiki_markup(marked).alias("text"))
 
 
@@ -196,13 +195,13 @@ def artifact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def blocklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).filter(qa.appropriate(Q, F.col("input"), A)).select("pair_id")
+    return _pairs(spark, sf_dir).filter(qa.appropriate(F.col("instruction"), F.col("input"), F.col("output"))).select("pair_id")
 
 
 @query
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "qa_merged").filter("instruction is not null and output is not null")
-    return rows.select("pair_id", qa.chat(Q, F.col("input"), A).alias("chat"))
+    return rows.select("pair_id", qa.chat(F.col("instruction"), F.col("input"), F.col("output")).alias("chat"))
 
 
 @query
@@ -213,7 +212,7 @@ def chat_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fence_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "qa_merged").filter("output is not null")
-    fenced = F.when(F.col("pair_id") % 2 == 0, F.concat(F.lit("```json\n"), A, F.lit("\n```"))).otherwise(A)
+    fenced = F.when(F.col("pair_id") % 2 == 0, F.concat(F.lit("```json\n"), F.col("output"), F.lit("\n```"))).otherwise(F.col("output"))
     return rows.select("pair_id", X.strip_fences(fenced).alias("text"), X.fenced_part(fenced).alias("part"))
 
 
@@ -273,14 +272,14 @@ def four_choice_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "armbench_eval").select(Q.alias("question"), A.alias("answer"), F.col("input").alias("context"))
+    rows = table(spark, sf_dir, "armbench_eval").select(F.col("instruction").alias("question"), F.col("output").alias("answer"), F.col("input").alias("context"))
     return qa.open_pairs(rows, "squad-in-context-qa", "context")
 
 
 @query
 def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "qa_merged").filter("output is not null").select(X.norm_key(Q).alias("norm"))
-    return corpus.without_done(table(spark, sf_dir, "aya_armenian").withColumn("norm", X.norm_key(Q)), done, "norm").select("pair_id")
+    done = table(spark, sf_dir, "qa_merged").filter("output is not null").select(X.norm_key(F.col("instruction")).alias("norm"))
+    return corpus.without_done(table(spark, sf_dir, "aya_armenian").withColumn("norm", X.norm_key(F.col("instruction"))), done, "norm").select("pair_id")
 
 
 @query
@@ -352,9 +351,9 @@ def piece_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model response per pair: its JSON line or array, fenced or broken by turns."""
     rows = table(spark, sf_dir, "armenian_qa_qwen").filter("instruction is not null and output is not null")
-    line = F.to_json(F.struct(Q.alias("question"), A.alias("answer")))
+    line = F.to_json(F.struct(F.col("instruction").alias("question"), F.col("output").alias("answer")))
     turn = F.col("pair_id") % 4
-    text = F.when(turn == 0, line).when(turn == 1, F.concat(F.lit("```json\n["), line, F.lit("]\n```"))).when(turn == 2, F.concat(line, F.lit(" trailing"))).otherwise(F.concat(F.lit('Here: {"question": "'), Q, F.lit('", "answer": "'), A, F.lit('"}')))
+    text = F.when(turn == 0, line).when(turn == 1, F.concat(F.lit("```json\n["), line, F.lit("]\n```"))).when(turn == 2, F.concat(line, F.lit(" trailing"))).otherwise(F.concat(F.lit('Here: {"question": "'), F.col("instruction"), F.lit('", "answer": "'), F.col("output"), F.lit('"}')))
     return rows.select("pair_id", "instruction", "output", text.alias("response"))
 
 

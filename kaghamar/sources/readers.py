@@ -1,11 +1,12 @@
 """Readers of local copies of the corpus formats; each gives (source, pos?, text) or raw records.
 
-Formats that Spark splits are read by Spark; xz, which it lacks, is decoded file by file in Arrow
+Formats that Spark splits are read by Spark; xz and zstd, which it may lack, are decoded file by file in Arrow
 batches. pos orders the texts of a source: file name, place of the split in the file, row in it.
 """
 
 from __future__ import annotations
 
+import io
 import lzma
 from collections.abc import Callable, Iterator
 
@@ -46,14 +47,26 @@ def wiki_articles(spark: SparkSession, path: str, source: str) -> DataFrame:
     return kept.select(F.lit(source).alias("source"), "text")
 
 
-def xz_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, value) of xz files, decoded as streams in bounded batches."""
+def _opened(name: str, content: bytes):  # noqa: ANN202
+    """A text stream over an xz, zstd or plain file's bytes."""
+    source = pa.BufferReader(content)
+    if name.endswith((".zst", ".zstd")):
+        import zstandard
+
+        return io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(source), "utf-8", "ignore", "\n")
+    if name.endswith(".xz"):
+        return lzma.open(source, "rt", encoding="utf-8", errors="ignore", newline="\n")
+    return io.TextIOWrapper(source, "utf-8", "ignore", "\n")
+
+
+def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, value) of files in codecs that Spark may lack, decoded as streams in bounded batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["path", "line_no", "value"]
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                with lzma.open(pa.BufferReader(content), "rt", encoding="utf-8", errors="ignore", newline="\n") as lines:
+                with _opened(name, content) as lines:
                     rows: list[tuple[str, int, str]] = []
                     for i, line in enumerate(lines):
                         rows.append((name, i, line.rstrip("\n")))
@@ -137,9 +150,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wikisource": lambda s, p: wiki_articles(s, p, "wikisource"),
     "wiktionary": lambda s, p: wiki_articles(s, p, "wiktionary"),
     "wikiquote": lambda s, p: wiki_articles(s, p, "wikiquote"),
-    "arlis": lambda s, p: legal_texts(xz_lines(s, p)).select("text"),
-    "cc100": lambda s, p: xz_lines(s, p).select(F.col("value").alias("text")),
-    "hplt3": lambda s, p: json_texts(s.read.text(p)),
+    "arlis": lambda s, p: legal_texts(decoded_lines(s, p)).select("text"),
+    "cc100": lambda s, p: decoded_lines(s, p).select(F.col("value").alias("text")),
+    "hplt3": lambda s, p: json_texts(decoded_lines(s, p) if p.endswith((".zst", ".zstd", ".xz")) else s.read.text(p)),
     "ccnews": lambda s, p: records(s.read.parquet(p), "plain_text", 50, {"language": "hy"}),
     "opensubtitles": lambda s, p: bitext_side(s.read.parquet(p), "hy"),
     "culturax": lambda s, p: records(s.read.parquet(p), "text"),

@@ -27,9 +27,24 @@ def write_stats(stats: DataFrame, totals: DataFrame, path: str) -> None:
         json.dump(body, file, ensure_ascii=False, indent=2)
 
 
-def write_pairs(df: DataFrame, path: str) -> None:
-    """Pairs as JSON lines under zstd."""
-    df.write.mode("overwrite").option("compression", "zstd").json(path)
+def write_pairs(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Pairs as compressed JSON lines."""
+    df.write.mode("overwrite").option("compression", compression).json(path)
+
+
+def zstd_file(source: str, target: str, level: int = 12) -> None:
+    """A zstd copy of one local file, as a stream."""
+    import zstandard
+
+    with open(source, "rb") as a, open(target, "wb") as b:
+        zstandard.ZstdCompressor(level=level).copy_stream(a, b)
+
+
+def unzstd_file(source: str, target: str) -> None:
+    import zstandard
+
+    with open(source, "rb") as a, open(target, "wb") as b:
+        zstandard.ZstdDecompressor().copy_stream(a, b)
 
 
 def write_tokens(df: DataFrame, path: str, key: str, tokens: str) -> None:
