@@ -100,7 +100,9 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return odd, sort, script
 
 
-TOKEN = regex.compile(r"[\p{L}\p{Nd}\p{M}\p{Cf}͏ᅟᅠㅤﾠ]+")
+_IGNORED = r"\p{Cf}\u034F\u115F\u1160\u3164\uFFA0\uFE00-\uFE0F"
+#: A word or number with what clings to it; joiners and selectors that an emoji before them needs stay out.
+TOKEN = regex.compile(rf"(?:(?<![\p{{So}}\p{{Sk}}])[{_IGNORED}])*[\p{{L}}\p{{Nd}}][\p{{L}}\p{{Nd}}\p{{M}}{_IGNORED}]*")
 ODD_SPACE = regex.compile(r"[\p{Zs}\p{Zl}\p{Zp}--[ ]]", regex.V1)
 ARABIC = regex.compile(r"\p{Arabic}")
 
@@ -112,7 +114,7 @@ def visible_form(token: str) -> str:
         before, after = token[i - 1 : i], token[i + 1 : i + 2]
         if c == PERSIAN_JOINER and ARABIC.match(before) and ARABIC.match(after):
             out.append(c)
-        elif c == JOINER and before == "ه" and not after.isalpha():
+        elif c == JOINER and before == "ه" and not after.isalpha() or c == SELECTOR and after == "\u20e3":
             out.append(c)
         elif (p := ord(c)) >= 0x20000 or tables()[0][p] != HIDDEN:
             out.append(unicodedata.normalize("NFKC", c) if is_style(c) else c)

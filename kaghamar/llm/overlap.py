@@ -7,8 +7,8 @@ within k = m // 5 edits of another shares at least m - 1 - 2k of its word pairs
 share one of their few rarest ones (how few follows from the length alone, and the order is the one
 of corpus-wide counts). Suffixes that begin with one of a text's rare word pairs are brought together
 by that pair; each part is a suffix array of its training texts, in which the evaluation suffixes
-find their neighbours, whose common prefixes forwards and backwards are the shared spans. Their
-coverage bounds the edits, and a bit-parallel edit distance decides the rest.
+find their neighbours, whose common prefixes forwards and backwards are the shared spans. What
+they leave uncovered bounds the edits, and a bit-parallel edit distance decides the rest.
 
 A word pair that very many texts share is split by salt: its training suffixes are spread over parts
 of `PART_ROWS`, and evaluation suffixes visit each part.
@@ -125,17 +125,16 @@ def _search(rows: DataFrame) -> DataFrame:
                         m = len(other_words)
                         k = max(n, m) // ONE_IN
                         i += step
-                        if other_id == text_id or abs(n - m) > k or abs(place - other_place) > k:
+                        if other_id == text_id or abs(n - m) > k:
                             continue
                         if next((x for x in other_rare if x in rare_set), None) != look:
                             continue  # the pair is settled at the rarest word pair that both offer
                         back = 0
                         while back < min(place, other_place) and words[place - 1 - back] == other_words[other_place - 1 - back]:
                             back += 1
-                        # what the shared span leaves on either side
-                        a, b = words[: place - back], other_words[: other_place - back]
-                        c, d = words[place + common :], other_words[other_place + common :]
-                        if abs(len(a) - len(b)) + abs(len(c) - len(d)) <= k and edits_within(words, other_words, k):
+                        # what the shared span leaves on either side bounds the edits; else they are counted
+                        ahead, behind = max(place, other_place) - back, max(n - place, m - other_place) - common
+                        if ahead + behind <= k or edits_within(words, other_words, k):
                             found.append((other_id, text_id))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["train_text", "eval_text"])
 
