@@ -32,7 +32,7 @@ TEMPLATES = """
 Ստորագրություն՝ {name|NAMEHY} // Լուսանկարը՝ {name|NAMEHY} // Գնորդ {name|NAMEHY} խնդրում է զանգել {phone|PHONE} // Այդ մասին գրել է ընթերցող {name|NAMEHY}։ // Պահակը՝ {name|NAMEHY}, գիտի բոլորին։ // տրված {name|NAMEHY} անունով
 Կարծիք է գրել {name|NAMEHY}, {email|EMAIL}։ // Կարծիք է թողել {name|NAMEHY}, {email|EMAIL} // Տիկին {name|NAMEHY} պատմեց, որ դպրոցը փակ է։ // Տիկին {name|NAMEHY} ասաց, թե գյուղը փոքր է։ // Գնորդ {name|NAMEHY} չի ստացել նամակը։ // Նամակը գրված էր այսպես՝ {name|NAMEHY}, {address|ADDRHY}։ // The tenant {name|NAMEEN} agreed to pay. // The neighbour {name|NAMEEN} came with the plan. // Նամակը ստացել է {name|NAMEHY}, {address|ADDRHY} այդ օրը նա տանը չէր։ // Ստորագրություն՝ {name|NAMEHY}, ID քարտ {identity|IDC}, {address|ADDRHY} 1919 թվականին դպրոցը փակվեց։ // Ի վերջո Լեռնավանի խանութը փակվեց։ // Նամակը հասցեագրված էր՝ {name|NAMEHY}, {address|ADDRHY}։
 Call {phone|PHONE} and ask for {name|NAMEEN}. // Text me at {phone|PHONE}. // Write to {email|EMAIL} for more. // Send it to {address|ADDREN}. // I am {name|NAMEEN} and I live at {address|ADDREN}. // The applicant, {name|NAMEEN}, showed passport no. {identity|PASS}.
-The tenant {name|NAMEEN} signed. // Please send a copy of identity card {identity|IDC} to {email|EMAIL}. // His social card number is {identity|SSN}. // {name|NAMEEN} / {email|EMAIL} / {phone|PHONE} // Author: {name|NAMEEN} // Deliver to {address|ADDREN}, attention {name|NAMEEN}
+The tenant {name|NAMEEN} signed. // {name|NAMEEN} / {email|EMAIL} / {phone|PHONE} // {name|NAMEEN} / {email|EMAIL} // Please send a copy of identity card {identity|IDC} to {email|EMAIL}. // His social card number is {identity|SSN}. // {name|NAMEEN} / {email|EMAIL} / {phone|PHONE} // Author: {name|NAMEEN} // Deliver to {address|ADDREN}, attention {name|NAMEEN}
 Телефон: {phone|PHONE}, спросить {name|NAMERU}. // Пишите на {email|EMAIL}. // Проживает по адресу: {address|ADDRRU}. // Заявитель {name|NAMERU}, паспорт {identity|PASS}. // Сдаётся дом, {address|ADDRRU}. // Соседа зовут {name|NAMERU}. // Доставка: {address|ADDRRU}, {phone|PHONE} // Номер соцкарты {identity|SSN}. // Отправьте паспорт {identity|PASS} на {email|EMAIL}. // ID-карта {identity|IDC}
 Պատվեր № 004512378-20, արժեքը՝ 45 300 դրամ։ // Հաշիվ ապրանքագիր № 7712345/88 // ISBN 978-5-17-118366-8 // Ժամանակը՝ 12.05.1998, ժամը 18:30։ // Տարբերակ 3.18.2-b204 // Կոորդինատները՝ 40.1811, 44.5136։ // Չափսերը՝ 210-35-70 մմ։ // Ընդունվել է ՀՕ-27-Ն օրենքը 2003 թվականին։ // Տե՛ս https://lernavan.example/page/5512345 // Հետևեք մեզ @lernavan էջում։ // Հաշիվը՝ 78-65, 3-րդ փողոցային վազք։ // Գրանցվել է 120 450 դիմում։ // Այգեստանի փողոցը վերանորոգվել է 2001 թվականին։ // Խորենացու փողոցում նոր ծառեր տնկեցին։ // 12 ½ ² naïve
 Order no. 884512-77, price 1 250. // The street was repaired in 1998. // In 1999 about 350 visitors came. // Гонка прошла по улице в 2004 году. // Цена 15 400 рублей, заказ № 5512347-12. // Գրադարանը բացվել է 1876 թվականին, երբ քաղաքապետը եկավ։ // Արև է, երկինքը պարզ է։ // Վարդ բացվեց այգում։ // Hope is never lost. // The Grant was paid in full. // Mark the page. // Violet flowers grow by the Castle wall.

@@ -314,13 +314,31 @@ def divergences(figures: Figures) -> np.ndarray:
         own, theirs = _entropy(mine[k]), _entropy(prof[k])
         for j in range(len(names)):
             total[:, j] += w * (_entropy((mine[k] + prof[k][j]) / 2) - (own + theirs[j]) / 2)
-    # a form without the marks that make it up is out of the question
-    inline, ends = figures.char_counts[:, INLINE], figures.stop_lines
-    for j, (_, form) in enumerate(names):
+    # a form without what makes it up is out of the question, and so is prose against plain evidence
+    c, words = figures.char_counts, np.maximum(figures.words, 1)
+    parts = c[:, COMMA] + c[:, CELL]
+    short_phrases = figures.phrases[:, 4:].sum(1) == 0
+    listed = short_phrases & ((figures.lines == 1) & (parts >= 3) | (figures.lines >= 5) & figures.entry_rows)
+    listed |= (figures.phrases[:, 5] == 0) & (figures.lines == 1) & (parts >= 4)
+    listed &= c[:, STOP] == 0
+    unreadable = (figures.word_kinds[:, 7] >= 2) & (figures.word_kinds[:, 7] >= 0.15 * words) | (figures.word_kinds[:, 6] >= 0.5 * words) & (figures.words > 0)
+    for j, (kind, form) in enumerate(names):
+        out = np.zeros(figures.rows, bool)
         if form.startswith(("tags", "trail")):
-            total[inline < 2, j] = np.inf
+            out |= c[:, INLINE] < 2
         elif form.startswith("lines"):
-            total[(figures.lines < 3) | (2 * ends > figures.lines), j] = np.inf
+            out |= (figures.lines < 3) | (2 * figures.stop_lines > figures.lines) | (c[:, STOP] >= 2)
+        elif form.startswith("commas"):
+            out |= c[:, STOP] >= 2
+        elif form.startswith("repeat"):
+            out |= figures.distinct > 0.35 * words
+        if kind == "prose":
+            out |= listed | unreadable
+        elif kind == "list":
+            out |= unreadable
+        if kind in ("list", "table"):
+            out |= figures.words < 3
+        total[out, j] = np.inf
     return total
 
 
