@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kaghamar.functions.text import WS, clean_chunk, share_percent
+from kaghamar.session import small
 
 MIN_CHARS = 50
 
@@ -24,8 +25,8 @@ def paragraphs(df: DataFrame, key: str, text: str, separator: str = rf"\n{WS}*\n
 
 
 def with_rank(df: DataFrame, order: DataFrame) -> DataFrame:
-    """Only rows of listed sources, with the source's priority; `order` has one row per source, a fixed few."""
-    return df.join(F.broadcast(order), "source")
+    """Only rows of listed sources, with the source's priority; `order` has one row per source and is broadcast while it is small."""
+    return df.join(small(order), "source")
 
 
 def cleaned(df: DataFrame, text: str = "text", keep: str | None = None) -> DataFrame:
@@ -60,7 +61,7 @@ def source_stats(flagged: DataFrame, order: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("fate") == "kept", F.col("chars_out") + 2).otherwise(0).cast("long")).alias("chars_out"),
         count("kept").alias("kept"), count("short").alias("dropped_short"), count("duplicate").alias("dropped_duplicates"),
     )
-    out = F.broadcast(order).join(stats, "source", "left")
+    out = order.join(stats, "source", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return out.select(
         "source", "priority", F.when(F.col("kept").isNull(), "missing").otherwise("ok").alias("status"),

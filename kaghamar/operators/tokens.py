@@ -25,15 +25,9 @@ def char_vocabulary(df: DataFrame, text: str) -> DataFrame:
     return chars.withColumn("id", (F.row_number().over(Window.orderBy("token")) - 1).cast("int"))
 
 
-def vocabulary_map(vocabulary: DataFrame) -> Column:
-    """The vocabulary (bounded by Unicode) as a literal map column."""
-    rows = vocabulary.collect()
-    return F.create_map(*[x for r in rows for x in (F.lit(r["token"]), F.lit(r["id"]))])
-
-
-def _mapped(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    one = vocabulary.agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("_vocab"))
-    return df.crossJoin(F.broadcast(one))  # one row: the map of a vocabulary that Unicode bounds
+def _as_map(vocabulary: DataFrame, key: str, value: str) -> Column:
+    """The vocabulary as one map, a scalar subquery; Unicode bounds its size."""
+    return vocabulary.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
 
 
 def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tuple[str, ...] = (), out: str = "tokens") -> DataFrame:
@@ -46,14 +40,13 @@ def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tupl
     else:
         pieces = F.split(F.col(text), "")
     ids = F.filter(F.transform(pieces, lambda c: F.try_element_at(F.col("_vocab"), c)), lambda i: i.isNotNull())
-    return _mapped(df, vocabulary).withColumn(out, ids).drop("_vocab")
+    return df.withColumn("_vocab", _as_map(vocabulary, "token", "id")).withColumn(out, ids).drop("_vocab")
 
 
 def decode_chars(df: DataFrame, tokens: str, vocabulary: DataFrame, out: str = "text") -> DataFrame:
     """`out`: the characters of the ids; unknown ids are dropped."""
-    one = vocabulary.agg(F.map_from_entries(F.collect_list(F.struct("id", "token"))).alias("_vocab"))
     chars = F.filter(F.transform(F.col(tokens), lambda i: F.try_element_at(F.col("_vocab"), i)), lambda c: c.isNotNull())
-    return df.crossJoin(F.broadcast(one)).withColumn(out, F.array_join(chars, "")).drop("_vocab")
+    return df.withColumn("_vocab", _as_map(vocabulary, "id", "token")).withColumn(out, F.array_join(chars, "")).drop("_vocab")
 
 
 def add_tokens(vocabulary: DataFrame, tokens: list[str] | DataFrame) -> DataFrame:
@@ -64,9 +57,9 @@ def add_tokens(vocabulary: DataFrame, tokens: list[str] | DataFrame) -> DataFram
     else:
         new = spark.createDataFrame([(t, i) for i, t in enumerate(dict.fromkeys(tokens))] or [("", 0)], "token string, place int").filter("token <> ''")
     new = new.join(vocabulary.select("token"), "token", "left_anti")
-    size = vocabulary.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("size"))
-    numbered = new.withColumn("r", F.row_number().over(Window.orderBy("place"))).crossJoin(F.broadcast(size))
-    return vocabulary.select("token", "id").unionByName(numbered.select("token", (F.col("size") + F.col("r") - 1).cast("int").alias("id")))
+    size = vocabulary.agg(F.coalesce(F.max("id"), F.lit(-1)) + 1).scalar()
+    numbered = new.withColumn("r", F.row_number().over(Window.orderBy("place")))
+    return vocabulary.select("token", "id").unionByName(numbered.select("token", (size + F.col("r") - 1).cast("int").alias("id")))
 
 
 @lru_cache(maxsize=4)
@@ -137,10 +130,9 @@ def with_offsets(df: DataFrame, key: str, tokens: str, buckets: int = 256) -> Da
     Keys are cut into ranges; one window runs within a range and one over the ranges' sums.
     """
     sized = df.withColumn("_n", F.coalesce(F.size(tokens), F.lit(0)).cast("long"))
-    ends = sized.agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
-    sized = sized.crossJoin(F.broadcast(ends))  # one row
-    width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / buckets), F.lit(1))
-    sized = sized.withColumn("_b", F.floor((F.col(key) - F.col("_low")) / width)).drop("_low", "_high")
+    low, high = (df.agg(f(key)).scalar() for f in (F.min, F.max))
+    width = F.greatest(F.ceil((high - low + 1) / buckets), F.lit(1))
+    sized = sized.withColumn("_b", F.floor((F.col(key) - low) / width))
     sums = sized.groupBy("_b").agg(F.sum("_n").alias("_s"))
     base = sums.withColumn("_base", F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).drop("_s")
     inner = F.sum("_n").over(Window.partitionBy("_b").orderBy(key)) - F.col("_n")
@@ -150,8 +142,8 @@ def with_offsets(df: DataFrame, key: str, tokens: str, buckets: int = 256) -> Da
 def split_tokens(df: DataFrame, key: str, tokens: str, share: float = VALID_SHARE) -> DataFrame:
     """(key, split, start, tokens): the first int(N * (1 - share)) tokens are train, the rest valid; a row on the cut is divided."""
     placed = with_offsets(df, key, tokens)
-    total = placed.agg(F.floor(F.sum("_n") * F.lit(1 - share)).cast("long").alias("_cut"))
-    placed = placed.crossJoin(F.broadcast(total))
+    size = F.coalesce(F.size(tokens), F.lit(0)).cast("long")
+    placed = placed.withColumn("_cut", df.agg(F.floor(F.sum(size) * F.lit(1 - share)).cast("long")).scalar())
     left = F.greatest(F.lit(0), F.least(F.col("_n"), F.col("_cut") - F.col("start"))).cast("int")
     train = placed.filter(left > 0).select(key, F.lit("train").alias("split"), "start", F.slice(tokens, F.lit(1), left).alias("tokens"))
     valid = placed.filter(left < F.col("_n")).select(key, F.lit("valid").alias("split"), (F.col("start") + left).alias("start"), F.slice(tokens, left + 1, (F.col("_n") - left).cast("int")).alias("tokens"))

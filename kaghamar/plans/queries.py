@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kaghamar.functions import text as X
 from kaghamar.operators import corpus, metrics, parsing, qa, tokens
 from kaghamar.plans.sql import ORACLE
-from kaghamar.session import cut_lineage
+from kaghamar.session import cut_lineage, small
 from kaghamar.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,9 +218,10 @@ def fence_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question per nation: its region among the regions; the label's form changes with the key."""
-    regions = table(spark, sf_dir, "region").agg(F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda r: r["r_name"]).alias("names"))
-    rows = table(spark, sf_dir, "nation").crossJoin(F.broadcast(regions))  # one row of five names
-    rows = rows.join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = table(spark, sf_dir, "region")
+    names = region.agg(F.transform(F.array_sort(F.collect_list(F.struct("r_regionkey", "r_name"))), lambda r: r["r_name"])).scalar()
+    rows = table(spark, sf_dir, "nation").withColumn("names", names)
+    rows = rows.join(small(region), F.col("n_regionkey") == F.col("r_regionkey"))
     form = F.col("n_nationkey") % 3
     return rows.select(
         "n_nationkey", "n_regionkey", "r_name", F.col("names").alias("choices"), F.concat(F.lit(" Where is "), F.col("n_name"), F.lit("? ")).alias("question"),

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,6 +48,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """The session's shuffle partitions, the unit in which hot groups are salted."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """`df` marked for broadcast if it has at most `rows` rows, else as it is, for a shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
