@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kaghamar.functions.text import WS, clean_chunk, share_percent
-from kaghamar.session import small
+from kaghamar.session import cut_lineage, small
 
 MIN_CHARS = 50
 
@@ -44,6 +44,8 @@ def flag_paragraphs(df: DataFrame, order: DataFrame, tie: str, least: int = MIN_
     rows = with_rank(cleaned(df.filter(F.col("text").isNotNull())), order)
     rows = rows.withColumn("chars_in", F.length("text")).withColumn("chars_out", F.length("clean")).withColumn("digest", F.md5("clean"))
     rows = rows.select("source", "priority", "pos", tie, "chars_in", "chars_out", "digest")
+    if dedup:
+        rows = cut_lineage(rows)  # narrow rows, read twice; the texts are cleaned once
     short = F.col("chars_out") < least
     if not dedup:
         return rows.withColumn("fate", F.when(short, "short").otherwise("kept"))

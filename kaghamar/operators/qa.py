@@ -127,12 +127,17 @@ def aya_reasons(question: Column, answer: Column, min_q: int = 10, max_q: int =
 
 def aya_pairs(df: DataFrame, question: str, answer: str, dataset: str, key: str, **bounds: float) -> DataFrame:
     """(key, instruction, input, output, source) of the pairs that pass, before deduplication."""
-    q, a = ws_clean(F.col(question)), ws_clean(F.col(answer))
-    rows = df.select(F.col(key), q.alias("instruction"), F.lit("").alias("input"), a.alias("output"), F.col(dataset).alias("source"))
-    bad = F.lit(False)
-    for _, condition in aya_reasons(F.col("instruction"), F.col("output"), **bounds):
-        bad = bad | condition
-    return rows.filter(~bad)
+    one = F.struct(ws_clean(F.col(question)).alias("q"), ws_clean(F.col(answer)).alias("a"))
+
+    def good(x: Column) -> Column:
+        bad = F.lit(False)
+        for _, condition in aya_reasons(x["q"], x["a"], **bounds):
+            bad = bad | condition
+        return ~bad
+
+    # within the lambda both texts are cleaned once, whereas a filter over aliases would clean them in each condition
+    rows = df.select(F.col(key), F.col(dataset).alias("source"), F.explode(F.filter(F.array(one), good)).alias("p"))
+    return rows.select(key, F.col("p.q").alias("instruction"), F.lit("").alias("input"), F.col("p.a").alias("output"), "source")
 
 
 def merge_pairs(pairs: DataFrame, rank: str, key: str) -> DataFrame:

@@ -6,12 +6,17 @@ rows comes from a key; running sums are kept per bucket of key ranges, so no tas
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kaghamar.functions.codepoints import flatten
 
 VALID_SHARE = 0.1
 
@@ -25,28 +30,48 @@ def char_vocabulary(df: DataFrame, text: str) -> DataFrame:
     return chars.withColumn("id", (F.row_number().over(Window.orderBy("token")) - 1).cast("int"))
 
 
-def _as_map(vocabulary: DataFrame, key: str, value: str) -> Column:
-    """The vocabulary as one map, a scalar subquery; Unicode bounds its size."""
-    return vocabulary.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
+def _codes(vocabulary: DataFrame) -> dict[str, int]:
+    """The vocabulary on the driver; Unicode bounds its size, special tokens aside."""
+    return {r["token"]: r["id"] for r in vocabulary.collect()}
 
 
 def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tuple[str, ...] = (), out: str = "tokens") -> DataFrame:
-    """`out`: ids of the characters; the longest special token first; characters without an id are dropped."""
-    if specials:
-        import re
+    """`out`: ids of the characters; the longest special token first; characters without an id are dropped.
 
-        longest = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-        pieces = F.regexp_extract_all(F.col(text), F.lit(f"({longest}|(?s:.))"), F.lit(1))
-    else:
-        pieces = F.split(F.col(text), "")
-    ids = F.filter(F.transform(pieces, lambda c: F.try_element_at(F.col("_vocab"), c)), lambda i: i.isNotNull())
-    return df.withColumn("_vocab", _as_map(vocabulary, "token", "id")).withColumn(out, ids).drop("_vocab")
+    A batch's code points go through one lookup table at once. Null texts give null.
+    """
+    codes = _codes(vocabulary)
+    parts = re.compile("(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")") if specials else None
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def ids(texts: pa.Array) -> pa.Array:
+        table = np.full(0x110000, -1, np.int32)
+        for token, i in codes.items():
+            if len(token) == 1:
+                table[ord(token)] = i
+        if parts is None:
+            points, offsets = flatten(texts)
+            found = table[points]
+            kept = np.concatenate([[0], np.cumsum(found >= 0)])[offsets]
+        else:
+            rows = [[j for p in parts.split(t or "") if p for j in ([codes.get(p, -1)] if p in specials else table[np.frombuffer(p.encode("utf-32-le"), np.uint32)].tolist())] for t in texts.to_pylist()]
+            found = np.array([j for r in rows for j in r], np.int32)
+            kept = np.concatenate([[0], np.cumsum([sum(j >= 0 for j in r) for r in rows])])
+        nulls = np.append(np.asarray(texts.is_null()), False)
+        return pa.ListArray.from_arrays(pa.array(kept, pa.int32(), mask=nulls), pa.array(found[found >= 0]))
+
+    return df.withColumn(out, ids(F.col(text)))
 
 
 def decode_chars(df: DataFrame, tokens: str, vocabulary: DataFrame, out: str = "text") -> DataFrame:
     """`out`: the characters of the ids; unknown ids are dropped."""
-    chars = F.filter(F.transform(F.col(tokens), lambda i: F.try_element_at(F.col("_vocab"), i)), lambda c: c.isNotNull())
-    return df.withColumn("_vocab", _as_map(vocabulary, "id", "token")).withColumn(out, F.array_join(chars, "")).drop("_vocab")
+    names = {i: t for t, i in _codes(vocabulary).items()}
+
+    @F.arrow_udf(T.StringType())
+    def text(ids: pa.Array) -> pa.Array:
+        return pa.array([None if row is None else "".join([names.get(i, "") for i in row]) for row in ids.to_pylist()], pa.string())
+
+    return df.withColumn(out, text(F.col(tokens)))
 
 
 def add_tokens(vocabulary: DataFrame, tokens: list[str] | DataFrame) -> DataFrame:
@@ -74,8 +99,6 @@ def encode_pieces(df: DataFrame, key: str, text: str, model: str, specials: tupl
 
     The path is a parameter and the model is loaded once per worker. Null texts give null.
     """
-    import re
-
     split = re.compile("(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")") if specials else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

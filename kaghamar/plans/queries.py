@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from kaghamar.functions import text as X
 from kaghamar.operators import corpus, metrics, parsing, qa, tokens
 from kaghamar.plans.sql import ORACLE
-from kaghamar.session import cut_lineage, small
+from kaghamar.session import cut_lineage, small, spread
 from kaghamar.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Letters and digits of the fixture language beside the default characters, for the Latin variant.
 LATIN_KEEP = X.CLEAN_KEEP + "A-Za-z"
 
+#: Tables that are worth dealing out when they come in fewer pieces than there are cores.
+TEXT_TABLES = frozenset(("documents", "corpus_raw", "raw_chunks", "aya_armenian", "armenian_qa_qwen", "qa_merged", "armbench_train", "armbench_eval"))
+
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[run.__name__] = run
@@ -24,7 +27,8 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,10 +55,10 @@ def pct(part: str, whole: str) -> str:
 
 
 #: The entities that the fixture holds, and the usual ones.
-_ENTITIES = {"&nbsp;": "chr(160)", "&#171;": "'«'", "&#187;": "'»'", "&quot;": "chr(34)", "&lt;": "'<'", "&gt;": "'>'", "&amp;": "'&'"}
+_ENTITIES = {"&nbsp;?": "chr(160)", "&#171;?": "'«'", "&#187;?": "'»'", "&quot;": "chr(34)", "&lt;": "'<'", "&gt;": "'>'", "&amp;": "'&'"}
 _CHUNK = "chunk"
 for _name, _char in _ENTITIES.items():
-    _CHUNK = f"replace({_CHUNK}, '{_name}', {_char})"
+    _CHUNK = f"regexp_replace({_CHUNK}, '{_name}', {_char}, 'g')"
 HTML = f"regexp_replace(regexp_replace({_CHUNK}, '(?i)<br[ \\t\\n\\x0b\\f\\r]*/?>', chr(10), 'g'), '(?i)</p>', chr(10) || chr(10), 'g')"
 HTML = strip(f"regexp_replace(regexp_replace(regexp_replace({HTML}, '<[^>]+>', '', 'g'), '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
 PAIRS = """pairs AS (

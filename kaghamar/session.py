@@ -51,3 +51,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """`df` marked for broadcast if it has at most `rows` rows, else as it is, for a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The scan, dealt out over the cores if its files make fewer tasks than there are; large scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
