@@ -120,40 +120,45 @@ class Field:
         self.move = np.zeros((k, k))
         self._train(examples)
 
-    def _train(self, examples: list, rounds: int = 7, rate: float = 0.25, decay: float = 1e-5) -> None:
+    def _train(self, examples: list, rounds: int = 10, rate: float = 0.25, decay: float = 1e-5) -> None:
         """Adagrad on the log-likelihood, with forward and backward sums."""
         squares, move_squares = np.full_like(self.weights, 1e-2), np.full_like(self.move, 1e-2)
-        order = np.random.default_rng(3)
-        places_of = [[(o, t, np.array(feats[t + d])) for o, d in enumerate(NEIGHBOURS) for t in range(len(tags)) if 0 <= t + d < len(tags)] for feats, tags in examples]
+        order, k = np.random.default_rng(3), len(STATES)
+        flat, flat_squares = self.weights.reshape(-1, k), squares.reshape(-1, k)
+        width = self.weights.shape[1]
+        designs = []
+        for feats, tags in examples:  # (token, weight row) of all features of all neighbours
+            pairs = [(t, o * width + f) for o, d in enumerate(NEIGHBOURS) for t in range(len(tags)) if 0 <= t + d < len(tags) for f in feats[t + d]]
+            at, row = np.array(pairs).T
+            used, place = np.unique(row, return_inverse=True)
+            design = np.zeros((len(used), len(tags)))
+            np.add.at(design, (place, at), 1)
+            designs.append((used, design, tags))
         for _ in range(rounds):
             for i in order.permutation(len(examples)):
-                tags, places = examples[i][1], places_of[i]
+                used, design, tags = designs[i]
                 n = len(tags)
-                score = np.zeros((n, len(STATES)))
-                for o, t, f in places:
-                    score[t] += self.weights[o, f].sum(0)
+                score = design.T @ flat[used]
                 ahead, back = np.zeros_like(score), np.zeros_like(score)
                 ahead[0] = score[0]
+                move = np.exp(self.move)
                 for t in range(1, n):
-                    m = ahead[t - 1][:, None] + self.move
-                    top = m.max(0)
-                    ahead[t] = score[t] + top + np.log(np.exp(m - top).sum(0))
+                    top = ahead[t - 1].max()
+                    ahead[t] = score[t] + top + np.log(np.exp(ahead[t - 1] - top) @ move)
                 for t in range(n - 2, -1, -1):
-                    m = self.move + (score[t + 1] + back[t + 1])[None]
-                    top = m.max(1)
-                    back[t] = top + np.log(np.exp(m - top[:, None]).sum(1))
+                    m = score[t + 1] + back[t + 1]
+                    top = m.max()
+                    back[t] = top + np.log(move @ np.exp(m - top))
                 total = np.logaddexp.reduce(ahead[-1])
-                chance = np.exp(ahead + back - total)
-                grad = -chance
+                grad = -np.exp(ahead + back - total)
                 grad[np.arange(n), tags] += 1
-                grad_move = np.zeros_like(self.move)
-                for t in range(1, n):
-                    grad_move -= np.exp(ahead[t - 1][:, None] + self.move + (score[t] + back[t])[None] - total)
-                    grad_move[tags[t - 1], tags[t]] += 1
-                for o, t, f in places:
-                    g = grad[t] - decay * self.weights[o, f]
-                    squares[o, f] += g**2
-                    self.weights[o, f] += rate * g / np.sqrt(squares[o, f])
+                m = (score + back)[1:]
+                pair = np.exp(ahead[:-1, :, None] + self.move[None] + m[:, None, :] - total).sum(0)
+                grad_move = -pair
+                np.add.at(grad_move, (tags[:-1], tags[1:]), 1)
+                g = design @ grad - decay * flat[used]
+                flat_squares[used] += g**2
+                flat[used] += rate * g / np.sqrt(flat_squares[used])
                 move_squares += grad_move**2
                 self.move += rate * grad_move / np.sqrt(move_squares)
 

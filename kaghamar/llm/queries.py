@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kaghamar.llm import abuse, blocks, bpe, formatting, langid, lookalikes, overlap, pairs, personal, quality
-from kaghamar.session import cut_lineage
+from kaghamar.session import cut_lineage, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows if name == "labels" else spread(rows)
 
 
 def p1_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
