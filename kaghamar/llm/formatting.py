@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kaghamar.functions.codepoints import flatten, segment_sums, slices
+from kaghamar.functions.codepoints import flatten, slices
+from kaghamar.session import cut_lineage
 
 #: Odd multipliers of the two polynomials, and what letters are turned into before they enter one.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -236,7 +237,7 @@ def formatting_copies(df: DataFrame, key: str, text: str, as_json: bool = False,
     text of a group is repeated once per `salt_rows` rows, over which its copies are spread.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t")).filter("id is not null and t is not null")
-    hashes = _hashes(rows, as_json)
+    hashes = cut_lineage(_hashes(rows, as_json))  # 24 bytes a row, read twice; each text is hashed once
     groups = hashes.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("n")).filter("n > 1")
     groups = groups.withColumn("salts", (F.lit(1) + F.col("n") / salt_rows).cast("int"))
     salt = lambda: F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
