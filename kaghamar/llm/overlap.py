@@ -4,8 +4,8 @@ Two records match if at most one word in `ONE_IN` of the longer has to be insert
 replaced. Records are reduced to their distinct normalised texts first, so that copies are joined
 back by id and never multiply the search. Then the texts are searched by suffixes: a text of m words
 within k = m // 5 edits of another shares at least m - 1 - 2k of its word pairs with it, so the two
-share one of their few rarest ones (how few follows from the length alone, and the order is the one
-of corpus-wide counts). Suffixes that begin with one of a text's rare word pairs are brought together
+share one of their few rarest ones (how few follows from the length alone; rare is what a fixed
+table of corpus-wide counters says, so any text can tell without a shuffle). Suffixes that begin with one of a text's rare word pairs are brought together
 by that pair; each part is a suffix array of its training texts, in which the evaluation suffixes
 find their neighbours, whose common prefixes forwards and backwards are the shared spans. What
 they leave uncovered bounds the edits, and a bit-parallel edit distance decides the rest.
@@ -19,17 +19,25 @@ their pairs; texts of fewer than five words match only if equal, or one word apa
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kaghamar.functions.codepoints import flatten
+from kaghamar.llm.quality import word_hashes
+from kaghamar.session import cut_lineage
+
 ONE_IN = 5
 PART_ROWS = 4000
+#: Counters of word pairs: a bound that doesn't follow the corpus.
+BUCKETS = 1 << 20
 
 
 @lru_cache(maxsize=1 << 14)
@@ -72,10 +80,9 @@ def edits_within(a: list, b: list, k: int) -> bool:
     return score <= k
 
 
-def rare_pairs_needed(n: Column) -> Column:
+def rare_pairs_needed(n: int) -> int:
     """How many of its rarest word pairs a text of n words must offer, whatever the longer text's length."""
-    options = [n - m + 2 * F.floor(m / ONE_IN) + 1 for m in (n + d for d in range(ONE_IN + 1))]
-    return F.greatest(*[F.when(F.floor((n + d) / ONE_IN) >= d, o) for d, o in enumerate(options)], F.lit(0))
+    return max([n - m + 2 * (m // ONE_IN) + 1 for m in range(n, n + ONE_IN + 1) if m // ONE_IN >= m - n], default=0)
 
 
 def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -89,88 +96,193 @@ def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, "item_id long, norm string").filter("norm <> ''")
 
 
+def _looks(norms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, first word of each row, looks, row of each look) of normalised texts.
+
+    A look is a pair of neighbouring words; one that a text repeats counts anew each time.
+    """
+    points, offsets = flatten(norms)
+    rows = len(offsets) - 1
+    row_of = np.repeat(np.arange(rows), np.diff(offsets))
+    space = points == 32
+    first = np.zeros(len(points) + 1, bool)
+    first[offsets] = True
+    begin = np.flatnonzero(~space & (np.append(True, space[:-1])[: len(points)] | first[:-1]))
+    end = np.flatnonzero(~space & (np.append(space[1:], True)[: len(points)] | first[1:])) + 1
+    words, row = word_hashes(points, begin, end), row_of[begin]
+    starts = np.searchsorted(row, np.arange(rows + 1))
+    looks = (words[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    looks, look_row = looks[row[:-1] == row[1:]], row[:-1][row[:-1] == row[1:]]
+    order = np.lexsort((looks, look_row))
+    same = np.append(False, (looks[order][1:] == looks[order][:-1]) & (look_row[order][1:] == look_row[order][:-1]))[: len(order)]
+    run = np.arange(len(order))
+    nth = run - np.maximum.accumulate(np.where(same, 0, run))
+    looks[order] ^= nth.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    looks = (looks ^ (looks >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return words, starts, looks ^ (looks >> np.uint64(29)), look_row
+
+
+def _counts(texts: DataFrame) -> np.ndarray:
+    """[2, BUCKETS]: how often each bucket of looks occurs in training and in evaluation texts.
+
+    A fixed number of counters, so that every text can order its looks from rare to frequent by the
+    same rule without a shuffle; texts that share a bucket only make that order coarser.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            _, _, looks, row = _looks(batch.column("norm"))
+            bucket = (looks % np.uint64(BUCKETS)).astype(np.int64)
+            for i, side in enumerate(("in_train", "in_eval")):
+                total[i] += np.bincount(bucket[np.asarray(batch.column(side))[row]], minlength=BUCKETS)
+        some = np.flatnonzero(total.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0][some]), pa.array(total[1][some])], ["bucket", "train", "eval"])
+
+    sums = texts.mapInArrow(run, "bucket long, train long, eval long").groupBy("bucket").agg(F.sum("train").alias("train"), F.sum("eval").alias("eval"))
+    out = np.zeros((2, BUCKETS), np.int32)
+    found = sums.toArrow()  # at most BUCKETS rows
+    for i, side in enumerate(("train", "eval")):
+        out[i, np.asarray(found.column("bucket"))] = np.minimum(np.asarray(found.column(side)), 2**31 - 1)
+    return out
+
+
+def _suffixes(texts: DataFrame, counts: np.ndarray, part_rows: int) -> DataFrame:
+    """(look, salt, is_eval, text_id, place, words): each text's suffixes at its rare looks that the other side has, too."""
+    shared = texts.sparkSession.sparkContext.broadcast(counts)  # 8 MB, whatever the corpus
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        train, evaluation = shared.value
+        for batch in batches:
+            words, starts, looks, row = _looks(batch.column("norm"))
+            bucket = (looks % np.uint64(BUCKETS)).astype(np.int64)
+            place = np.arange(len(looks)) - np.searchsorted(row, row)
+            size = np.diff(starts)
+            needed = np.array([rare_pairs_needed(n) for n in range(int(size.max(initial=0)) + 1)])[size]
+            order = np.lexsort((looks, train[bucket].astype(np.int64) + evaluation[bucket], row))
+            rank = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+            rare = order[rank < needed[row[order]]]
+            ids, parts = np.asarray(batch.column("text_id")), np.maximum(-(-train[bucket].astype(np.int64) // part_rows), 1)
+            short = (words >> np.uint64(33)).astype(np.int32)  # what differs here differs in truth; equal ones are checked again
+            out: list[tuple[np.ndarray, np.ndarray, bool]] = []
+            t = rare[np.asarray(batch.column("in_train"))[row[rare]] & (evaluation[bucket[rare]] > 0)]
+            out.append((t, ((ids[row[t]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % parts[t].astype(np.uint64)).astype(np.int32), False))
+            e = rare[np.asarray(batch.column("in_eval"))[row[rare]] & (train[bucket[rare]] > 0)]
+            times = parts[e]
+            salts = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            out.append((np.repeat(e, times), salts.astype(np.int32), True))
+            for which, salt, is_eval in out:
+                for some in np.array_split(np.arange(len(which)), max(1, len(which) // 20_000)):
+                    at = which[some]
+                    n = size[row[at]]
+                    take = np.repeat(starts[row[at]] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(at) else n, n) + np.arange(n.sum())
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(short[take]))
+                    columns = [pa.array(looks[at].view(np.int64)), pa.array(salt[some]), pa.array(np.full(len(at), is_eval)), pa.array(ids[row[at]]), pa.array(place[at].astype(np.int32)), lists]
+                    yield pa.RecordBatch.from_arrays(columns, ["look", "salt", "is_eval", "text_id", "place", "words"])
+
+    return texts.mapInArrow(run, "look long, salt int, is_eval boolean, text_id long, place int, words array<int>")
+
+
+def _mark(words: list[int]) -> int:
+    """A set of small hashes of the words, as bits."""
+    out = 0
+    for w in words:
+        out |= 1 << (w & 511)
+    return out
+
+
+class SuffixArray:
+    """The training suffixes that begin with one look, sorted, with the common prefix of neighbours."""
+
+    def __init__(self, rows: list[tuple[int, int, list[int]]]):
+        rows.sort(key=lambda x: (x[2][x[1] :], x[0]))
+        self.ids = [x[0] for x in rows]
+        self.places = [x[1] for x in rows]
+        self.words = [x[2] for x in rows]
+        self.suffixes = [w[p:] for _, p, w in rows]
+        self.lengths = [len(w) for w in self.words]
+        self.marks = [_mark(w) for w in self.words]
+        self.common = [0] + [self._same(a, b) for a, b in itertools.pairwise(self.suffixes)]
+
+    @staticmethod
+    def _same(a: list[int], b: list[int]) -> int:
+        n = 0
+        for x, y in zip(a, b):
+            if x != y:
+                break
+            n += 1
+        return n
+
+    def near(self, text_id: int, place: int, words: list[int]) -> Iterator[int]:
+        """Ids of texts within the allowed edits, by falling length of the span shared with the suffix."""
+        suffix, n, mark = words[place:], len(words), _mark(words)
+        at = bisect_left(self.suffixes, suffix)
+        for step, i in ((1, at), (-1, at - 1)):
+            span = len(suffix)
+            first = True
+            while 0 <= i < len(self.ids):
+                m = self.lengths[i]
+                k = max(n, m) // ONE_IN
+                span = self._same(suffix, self.suffixes[i]) if first else min(span, self.common[i if step > 0 else i + 1])
+                first = False
+                # words that one text has and the other lacks bound the edits from below
+                if abs(n - m) <= k and (mark & ~self.marks[i]).bit_count() <= k and (self.marks[i] & ~mark).bit_count() <= k and self.ids[i] != text_id:
+                    other, there = self.words[i], self.places[i]
+                    back = 0
+                    while back < min(place, there) and words[place - 1 - back] == other[there - 1 - back]:
+                        back += 1
+                    # what the shared span leaves uncovered bounds them from above; else they are counted
+                    left = max(place, there) - back + max(n - place, m - there) - span
+                    if left <= k or edits_within(words, other, k):
+                        yield self.ids[i]
+                i += step
+
+
 def _search(rows: DataFrame) -> DataFrame:
-    """(train_text, eval_text) within the allowed edits, from suffix rows sorted by (look, salt, is_eval)."""
+    """(train_text, eval_text) that seem to match, from suffix rows sorted by (look, salt, is_eval)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = None
-        suffixes: list[tuple] = []  # the suffix array: (suffix, text id, place, words, rare pairs)
-        keys: list[tuple] = []
-        done = True
+        part, training, array = None, [], None
         for batch in batches:
             found: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("look", "salt", "is_eval", "text_id", "place", "words", "rare")]
-            for look, salt, is_eval, text_id, place, words, rare in zip(*columns):
+            for look, salt, is_eval, text_id, place, words in zip(*(batch.column(c).to_pylist() for c in ("look", "salt", "is_eval", "text_id", "place", "words"))):
                 if (look, salt) != part:
-                    part, suffixes, done = (look, salt), [], False
+                    part, training, array = (look, salt), [], None
                 if not is_eval:
-                    suffixes.append((tuple(words[place:]), text_id, place, words, rare))
-                    continue
-                if not done:
-                    suffixes.sort(key=lambda x: (x[0], x[1]))
-                    keys, done = [x[0] for x in suffixes], True
-                mine = tuple(words[place:])
-                n, rare_set = len(words), set(rare)
-                at = bisect_left(keys, mine)
-                for step, begin in ((1, at), (-1, at - 1)):  # neighbours by falling length of the common prefix
-                    common, i, last = len(mine), begin, mine
-                    while 0 <= i < len(suffixes):
-                        other, other_id, other_place, other_words, other_rare = suffixes[i]
-                        same = 0
-                        for x, y in zip(last, other):
-                            if x != y:
-                                break
-                            same += 1
-                        common, last = min(common, same), other
-                        m = len(other_words)
-                        k = max(n, m) // ONE_IN
-                        i += step
-                        if other_id == text_id or abs(n - m) > k:
-                            continue
-                        if next((x for x in other_rare if x in rare_set), None) != look:
-                            continue  # the pair is settled at the rarest word pair that both offer
-                        back = 0
-                        while back < min(place, other_place) and words[place - 1 - back] == other_words[other_place - 1 - back]:
-                            back += 1
-                        # what the shared span leaves on either side bounds the edits; else they are counted
-                        ahead, behind = max(place, other_place) - back, max(n - place, m - other_place) - common
-                        if ahead + behind <= k or edits_within(words, other_words, k):
-                            found.append((other_id, text_id))
+                    training.append((text_id, place, words))
+                elif training:
+                    array = array or SuffixArray(training)
+                    found += [(x, text_id) for x in array.near(text_id, place, words)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["train_text", "eval_text"])
 
     return rows.mapInArrow(run, "train_text long, eval_text long")
 
 
+def _exact(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts match word by word, not only by their words' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = a.split(" "), b.split(" ")
+                keep.append(edits_within(x, y, max(len(x), len(y)) // ONE_IN))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["train_text", "eval_text"])
+
+    sides = [texts.select(F.col("text_id").alias(i), F.col("norm").alias(c)) for i, c in (("train_text", "a"), ("eval_text", "b"))]
+    return pairs.join(sides[0], "train_text").join(sides[1], "eval_text").select("train_text", "eval_text", "a", "b").mapInArrow(run, "train_text long, eval_text long")
+
+
 def overlaps(train: DataFrame, evaluation: DataFrame, key: str = "item_id", text: str = "instruction", part_rows: int = PART_ROWS) -> DataFrame:
     """(train_id, eval_id, exact): every pair of a training and an evaluation record that match."""
     items = _texts(train, key, text).withColumn("is_eval", F.lit(False)).unionByName(_texts(evaluation, key, text).withColumn("is_eval", F.lit(True)))
-    texts = items.groupBy("norm").agg(F.min("item_id").alias("text_id"), F.max("is_eval").alias("in_eval"), F.min("is_eval").alias("only_eval"))
+    items = cut_lineage(items)
+    texts = cut_lineage(items.groupBy("norm").agg(F.min("item_id").alias("text_id"), F.max("is_eval").alias("in_eval"), (~F.min("is_eval")).alias("in_train")))
+    suffixes = _suffixes(texts, _counts(texts), part_rows)
+    near = _search(suffixes.repartition("look", "salt").sortWithinPartitions("look", "salt", "is_eval")).distinct()
+    same = texts.filter("in_eval and in_train").select(F.col("text_id").alias("train_text"), F.col("text_id").alias("eval_text"))
+    found = _exact(near, texts).withColumn("exact", F.lit(False)).unionByName(same.withColumn("exact", F.lit(True)))
     member = items.join(texts.select("norm", "text_id"), "norm").select("item_id", "is_eval", "text_id")
-    words = texts.withColumn("w", F.split("norm", " ")).withColumn("n", F.size("w")).filter("n >= 4")
-    words = words.select("text_id", "in_eval", "only_eval", "n", F.transform("w", lambda x: F.xxhash64(x)).alias("words"))
-    pairs = words.select("text_id", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("n") - 2), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1)))).alias("place", "pair"))
-    # a word pair that a text repeats counts once for each time
-    nth = F.row_number().over(Window.partitionBy("text_id", "pair").orderBy("place"))
-    pairs = pairs.withColumn("look", F.xxhash64("pair", nth)).drop("pair")
-    counts = pairs.groupBy("look").agg(F.count("*").alias("df"))
-    ranked = pairs.join(counts, "look").withColumn("rank", F.row_number().over(Window.partitionBy("text_id").orderBy("df", "look")))
-    rare = ranked.filter(F.col("rank") <= rare_pairs_needed(F.col("n")))
-    rare = rare.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("rank", "look", "place"))).alias("rare"))
-    rows = words.join(rare, "text_id").select("text_id", "in_eval", "only_eval", "words", F.col("rare.look").alias("rare"), F.explode("rare").alias("r"))
-    rows = rows.select("text_id", "in_eval", "only_eval", "words", "rare", F.col("r.look").alias("look"), F.col("r.place").alias("place"))
-    fields = ["look", "text_id", "place", "words", "rare"]
-    train_rows = rows.filter(~F.col("only_eval")).select(*fields)
-    eval_rows = rows.filter("in_eval").select(*fields)
-    # word pairs on both sides only, and into how many parts each one's training suffixes go
-    parts = train_rows.groupBy("look").agg((F.floor((F.count("*") - 1) / part_rows) + 1).cast("int").alias("parts"))
-    shared = parts.join(eval_rows.select("look").distinct(), "look", "left_semi")
-    train_rows = train_rows.join(shared, "look").withColumn("salt", F.pmod(F.xxhash64("text_id"), F.col("parts")).cast("int")).withColumn("is_eval", F.lit(False))
-    eval_rows = eval_rows.join(shared, "look").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("is_eval", F.lit(True))
-    suffixes = train_rows.unionByName(eval_rows).drop("parts")
-    suffixes = suffixes.repartition("look", "salt").sortWithinPartitions("look", "salt", "is_eval")
-    near = _search(suffixes).distinct()
-    same = texts.filter("in_eval and not only_eval").select(F.col("text_id").alias("train_text"), F.col("text_id").alias("eval_text"))
-    found = near.withColumn("exact", F.lit(False)).unionByName(same.withColumn("exact", F.lit(True)))
     t = member.filter(~F.col("is_eval")).select(F.col("text_id").alias("train_text"), F.col("item_id").alias("train_id"))
     e = member.filter("is_eval").select(F.col("text_id").alias("eval_text"), F.col("item_id").alias("eval_id"))
     return found.join(t, "train_text").join(e, "eval_text").select("train_id", "eval_id", "exact")
