@@ -238,7 +238,7 @@ class Centroids:
         return picked
 
     def _nearest(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(language, confidence, accepted) of each unit."""
+        """(language's number, confidence, accepted) of each unit."""
         dots = self._dots(u, b, value, self.weights, rows)
         best = dots.argmax(1)
         top = dots[np.arange(rows), best]
@@ -246,10 +246,10 @@ class Centroids:
         per_lang[np.arange(rows), self.group[best]] = 0
         second = np.maximum(per_lang.max(1), 0) if per_lang.shape[1] else np.zeros(rows)
         confidence = np.where(top > 0, top / np.maximum(top + second, 1e-9), 0)
-        return self.langs[best], confidence, top >= self.least[best]
+        return self.group[best], confidence, top >= self.least[best]
 
     def classify(self, unit: np.ndarray, bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(language, confidence, accepted, has grams) of n units given their grams."""
+        """(language's number, confidence, accepted, has grams) of n units given their grams."""
         u, b, c = counted(unit, bucket)
         value = c * self.idf[b]
         norm = np.sqrt(np.bincount(u, value.astype(np.float64) ** 2, n)).astype(np.float32)
@@ -282,12 +282,18 @@ class Identified:
         units = self.units = Units(points, offsets)
         rows, n = units.rows, len(units.words)
         gram_unit, gram = units.grams()
-        lang, confidence, accepted, has = model.classify(gram_unit, gram, n)
-        self.whole_lang, self.whole_confidence, _, self.any = model.classify(units.row[gram_unit] if n else gram_unit, gram, rows)
+        groups, confidence, accepted, has = model.classify(gram_unit, gram, n)
+        order = np.array(model.order, object)
         listed = np.isin(kinds, ("list",))
         counts = accepted & has & (units.words >= LEAST_WORDS) & ~listed[units.row] if n else np.zeros(0, bool)
-        self.lang, self.confidence, self.counts, self.has = lang, confidence, counts, has
-        groups = np.array([model.order.index(x) for x in lang], np.int64) if n else np.zeros(0, np.int64)
+        self.lang, self.confidence, self.counts = order[groups], confidence, counts
+        # the whole text is looked at only where no sentence of it counts
+        told = np.bincount(units.row[counts], minlength=rows) > 0
+        rest = ~told[units.row[gram_unit]] if n else np.zeros(0, bool)
+        names = np.cumsum(~told) - 1
+        whole = model.classify(names[units.row[gram_unit[rest]]] if n else gram_unit, gram[rest], int((~told).sum()))
+        self.whole_lang, self.whole_confidence, self.any = np.full(rows, None, object), np.zeros(rows), told.copy()
+        self.whole_lang[~told], self.whole_confidence[~told], self.any[~told] = order[whole[0]], whole[1], whole[3]
         self.order = model.order
         self.sentences = np.bincount(units.row[counts] * len(model.order) + groups[counts], minlength=rows * len(model.order)).reshape(rows, -1)
 
