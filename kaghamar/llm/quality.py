@@ -327,7 +327,7 @@ def divergences(figures: Figures) -> np.ndarray:
         if form.startswith(("tags", "trail")):
             out |= c[:, INLINE] < 2
         elif form.startswith("lines"):
-            out |= (figures.lines < 3) | (2 * figures.stop_lines > figures.lines) | (c[:, STOP] >= 2)
+            out |= (figures.lines < 3) | (2 * figures.stop_lines > figures.lines) | (c[:, STOP] >= 2) | (c[:, STOP] > 0) & ~short_phrases
         elif form.startswith("commas"):
             out |= c[:, STOP] >= 2
         elif form.startswith("repeat"):
