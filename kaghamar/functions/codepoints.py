@@ -46,19 +46,3 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
     cuts = np.flatnonzero(np.diff(group, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], batch.num_rows]):
         yield batch.slice(a, b - a)
-
-
-def segment_ids(offsets: np.ndarray) -> np.ndarray:
-    """The row number of each code point."""
-    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-
-
-def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of `values` per row (along axis 0), zero for empty rows."""
-    total = np.zeros((len(values) + 1, *values.shape[1:]), np.result_type(values.dtype, np.int64) if values.dtype.kind in "bui" else values.dtype)
-    np.cumsum(values, axis=0, out=total[1:])
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
-def strings(values: list, kind: pa.DataType | None = None) -> pa.Array:
-    return pa.array(values, kind or pa.string())
