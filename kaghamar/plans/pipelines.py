@@ -44,9 +44,10 @@ def prepare_corpus(spark: SparkSession, paths: dict[str, str], out: str, dedup:
     Paragraph ids follow the rows of the sources as read; a source that isn't there counts as missing.
     """
     ranks = spark.createDataFrame(list(zip(order, range(1, len(order) + 1))), "source string, priority int")
-    texts = readers.load_sources(spark, paths).withColumn("doc", F.monotonically_increasing_id())
-    pieces = corpus.paragraphs(texts.filter("text is not null"), "doc", "text").join(texts.select("doc", "source"), "doc")
-    rows = cut_lineage(pieces.select("source", F.struct("doc", "pos").alias("pos"), F.col("paragraph").alias("text")).withColumn("para_id", F.monotonically_increasing_id()))
+    texts = readers.load_sources(spark, paths).filter("text is not null")
+    texts = texts.select(F.struct("source", F.monotonically_increasing_id().alias("n")).alias("doc"), "text")
+    pieces = corpus.paragraphs(texts, "doc", "text").select("doc.source", F.struct("doc.n", "pos").alias("pos"), F.col("paragraph").alias("text"))
+    rows = cut_lineage(pieces.withColumn("para_id", F.monotonically_increasing_id()))  # ids are given once
     flagged = cut_lineage(corpus.flag_paragraphs(rows, ranks, "para_id", dedup=dedup))
     stats = cut_lineage(corpus.source_stats(flagged, ranks))
     kept = flagged.filter("fate = 'kept'").select("para_id", "priority").join(corpus.cleaned(rows).select("para_id", "source", "clean"), "para_id")
