@@ -201,8 +201,8 @@ class Trie:
         return (min(found)[0], min(found)[2]) if found else None
 
 
-def _observe(texts: pa.Array, ids: list, skip: np.ndarray) -> tuple[list[tuple[int, str]], list[str]]:
-    """((id, odd token) ..., distinct clean words) of a batch; rows in `skip` give no odd tokens."""
+def _observe(texts: pa.Array, ids: list, skip: np.ndarray) -> tuple[list[tuple[int, str]], list[tuple[str, int]]]:
+    """((id, odd token) ..., (clean word, count) ...) of a batch; rows in `skip` give no odd tokens."""
     odd, sort, script = tables()
     points, offsets = flatten(texts)
     size, rows = len(points), len(ids)
@@ -229,27 +229,25 @@ def _observe(texts: pa.Array, ids: list, skip: np.ndarray) -> tuple[list[tuple[i
     begin = np.flatnonzero(inside & ~(np.append(False, inside[:-1])[:size] & ~first[:-1]))
     end = np.flatnonzero(inside & ~(np.append(inside[1:], False) & ~first[1:])) + 1
     hashes = quality.word_hashes(points, begin, end)
-    _, at = np.unique(hashes, return_index=True)
-    words = [points[begin[i] : end[i]].tobytes().decode("utf-32-le") for i in at.tolist() if 1 < end[i] - begin[i] < 64]
+    _, at, n = np.unique(hashes, return_index=True, return_counts=True)
+    words = [(points[begin[i] : end[i]].tobytes().decode("utf-32-le"), k) for i, k in zip(at.tolist(), n.tolist()) if end[i] - begin[i] > 1]
     return found, words
 
 
 def observations(df: DataFrame, tab: str, key: str, text: str, skip_junk: bool) -> DataFrame:
-    """(tab, row_id, token, look): odd tokens with their row, clean words (once a batch) with a null row."""
+    """(tab, row_id, token, look, n): odd tokens with their row, clean words with a null row and their count in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "t", 1 << 20):
                 kinds = quality.kinds_of(batch.column("t")) if skip_junk else np.full(batch.num_rows, None)
                 found, words = _observe(batch.column("t"), batch.column("k").to_pylist(), kinds == "junk")
-                tokens = [t for _, t in found] + words
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in found] + [None] * len(words), pa.int64()), pa.array(tokens, pa.string()), pa.array([skeleton_of(t) for t in tokens], pa.string())],
-                    ["row_id", "token", "look"],
-                )
+                tokens = [t for _, t in found] + [w for w, _ in words]
+                columns = [pa.array([k for k, _ in found] + [None] * len(words), pa.int64()), pa.array(tokens, pa.string()), pa.array([skeleton_of(t) for t in tokens], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([1] * len(found) + [n for _, n in words], pa.int64())], ["row_id", "token", "look", "n"])
 
     narrow = df.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    return narrow.mapInArrow(run, "row_id long, token string, look string").withColumn("tab", F.lit(tab))
+    return narrow.mapInArrow(run, "row_id long, token string, look string, n long").withColumn("tab", F.lit(tab))
 
 
 @lru_cache(maxsize=1 << 17)
@@ -262,7 +260,7 @@ def spellings(seen: DataFrame) -> DataFrame:
 
     Words and tokens of one look meet in one partition, after equal ones have been counted together.
     """
-    counts = seen.groupBy("look", "token", F.col("row_id").isNull().alias("clean")).agg(F.count("*").alias("n"))
+    counts = seen.groupBy("look", "token", F.col("row_id").isNull().alias("clean")).agg(F.sum("n").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, trie, words, tokens = None, None, [], []
