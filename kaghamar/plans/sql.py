@@ -136,6 +136,18 @@ def reason(raw: str, clean_text: str) -> str:
     return f"CASE WHEN doc_id % 4 <> 0 THEN 'ns' WHEN coalesce({raw}, '') = '' THEN 'empty' WHEN starts_with({raw}, '{X.REDIRECTS[0]}') OR starts_with({raw}, '{X.REDIRECTS[1]}') THEN 'redirect' WHEN length({raw}) < 200 OR length({clean_text}) <= 100 THEN 'short' ELSE 'kept' END"
 
 
+def tidy(e: str) -> str:
+    return strip(f"regexp_replace({strip(e)}, '^\"+|\"+$', '', 'g')")
+
+
+_BODY = HTML.replace("chunk", "coalesce(json_extract_string(chunk, '$.body'), '')")
+_ESCAPED = "substr(CAST(to_json({0}) AS VARCHAR), 2, length(CAST(to_json({0}) AS VARCHAR)) - 2)"
+#: What the sweep over broken JSON sees: escapes stay, and an answer ends where a quote is followed by the end of a value.
+_RESPONSES = f"""raw AS (SELECT pair_id, CASE WHEN pair_id % 4 = 2 THEN {_ESCAPED.format("instruction")} ELSE instruction END AS q,
+    CASE pair_id % 4 WHEN 2 THEN regexp_extract({_ESCAPED.format("output")} || '"}}', '(?s)^(.+?)"{WS_RE2}*[}},\n]', 1) WHEN 3 THEN regexp_extract(output || '"}}', '(?s)^(.+?)"{WS_RE2}*[}},\n]', 1) ELSE output END AS a
+  FROM armenian_qa_qwen WHERE instruction IS NOT NULL AND output IS NOT NULL), r AS (SELECT pair_id, {tidy('q')} AS q, {tidy('a')} AS a FROM raw)"""
+
+
 ORACLE: dict[str, str] = {
     "corpus_paragraph_split": split(f"\\n{WS_RE2}*\\n+", 50),
     "corpus_line_split": split("\\n", 80),
@@ -170,6 +182,11 @@ ORACLE: dict[str, str] = {
     "html_strip": f"SELECT chunk_id, {HTML} AS text FROM raw_chunks WHERE chunk IS NOT NULL",
     "jsonl_texts": f"""WITH v AS (SELECT chunk_id, {strip("json_extract_string(chunk, '$.body')")} AS text FROM (SELECT * FROM raw_chunks WHERE json_valid(chunk)))
       SELECT chunk_id, text FROM v WHERE length(text) >= 50""",
+    "legal_paragraphs": f"""WITH v AS (SELECT chunk_id, {strip("coalesce(json_extract_string(chunk, '$.title'), '')")} AS title, {_BODY} AS body FROM (SELECT * FROM raw_chunks WHERE json_valid(chunk))),
+      p AS (SELECT chunk_id, list_filter([title, body], lambda x: x <> '') AS parts FROM v WHERE length(body) >= 100)
+      SELECT chunk_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS part, unnest(parts) AS text FROM p""",
+    "response_pairs": f"WITH {_RESPONSES} SELECT pair_id, 0 AS pos, q AS instruction, '' AS input, a AS output FROM r WHERE q <> '' AND length(a) > 20",
+    "response_arrays": f"WITH {_RESPONSES} SELECT pair_id, 0 AS pos, q AS instruction, '' AS input, a AS output FROM r WHERE q <> '' AND length(a) > 20 AND pair_id % 4 = 1",
     "artifact_filter": f"SELECT doc_id FROM documents WHERE {any_of('text', X.ARTIFACTS)}",
     "blocklist_filter": f"""WITH {PAIRS}, t AS (SELECT pair_id, output, lower(coalesce(instruction, '') || ' ' || coalesce(input, '') || ' ' || coalesce(output, '')) AS t FROM pairs)
       SELECT pair_id FROM t WHERE NOT {any_of('t', X.BLOCKLIST)} AND length(coalesce(output, '')) >= 10""",
