@@ -153,4 +153,17 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_texts": p10_texts,
 }
-ORACLE: dict[str, str] = {}
+#: Letters and digits in order, letter case aside, as far as SQL folds case.
+_FOLD = "regexp_replace(replace(replace(lower({0}), 'ß', 'ss'), chr(1415), chr(1381) || chr(1410)), '[^\\p{{L}}\\p{{Nd}}]', '', 'g')"
+_RECORDS = f"""tree AS (SELECT c.chunk_id, t.fullkey, t.type, CASE WHEN t.type = 'VARCHAR' THEN {_FOLD.format("json_extract_string(t.atom, '$')")} ELSE CAST(t.atom AS VARCHAR) END AS v
+    FROM (SELECT * FROM raw_chunks WHERE json_valid(chunk)) c, json_tree(c.chunk) t),
+  records AS (
+    SELECT 'corpus_raw' AS tab, para_id AS id, {_FOLD.format("text")} AS k FROM corpus_raw WHERE {_FOLD.format("text")} <> ''
+    UNION ALL SELECT 'raw_chunks', chunk_id, string_agg(fullkey || ' ' || type || ' ' || coalesce(v, ''), chr(10) ORDER BY fullkey) FROM tree GROUP BY chunk_id)"""
+
+ORACLE: dict[str, str] = {
+    "p5_found": f"WITH {_RECORDS}, f AS (SELECT *, min(id) OVER (PARTITION BY tab, k) AS first_id FROM records) SELECT tab, first_id, id AS copy_id FROM f WHERE id <> first_id",
+    "p5_records": f"""WITH {_RECORDS}, f AS (SELECT tab, min(id) AS row_id, count(*) AS copies FROM records GROUP BY tab, k)
+      SELECT tab, row_id, copies FROM f UNION ALL SELECT 'corpus_raw', para_id, 1 FROM corpus_raw WHERE para_id NOT IN (SELECT id FROM records)
+      UNION ALL SELECT 'raw_chunks', chunk_id, 1 FROM raw_chunks WHERE chunk_id NOT IN (SELECT id FROM records)""",
+}
