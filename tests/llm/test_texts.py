@@ -214,7 +214,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no fixture")
 def test_held_out_labels(spark):
-    """Labelled rows of the small fixture: abuse and quality by rule; nothing was fitted on these labels."""
+    """Labelled rows of the small fixture; the rules were written while reading other rows of the same generator."""
     corpus, labels = spark.read.parquet(f"{SF}/corpus_raw.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     labels = labels.filter("tab = 'corpus_raw'").withColumnRenamed("row_id", "para_id").drop("lang", "tab")
     scored = labels.filter("toxic is not null").join(abuse.abuse_scores(corpus, "para_id", "text"), "para_id").collect()
