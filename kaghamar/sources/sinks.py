@@ -55,6 +55,7 @@ def write_tokens(df: DataFrame, path: str, key: str, tokens: str) -> None:
 def export_token_bins(df: DataFrame, folder: str, key: str, tokens: str) -> DataFrame:
     """Unsigned 16-bit little-endian files, one per range of keys, named in key order; (file, n_tokens) when run.
 
+    The folder must be one that all executors share.
     A task writes to a name of its own attempt and renames it, so a repeated task leaves one file.
     """
     os.makedirs(folder, exist_ok=True)
