@@ -123,6 +123,18 @@ def test_abuse_cases(text, case):
         assert (abuse.scores(pa.array([whole]))[0] >= abuse.THRESHOLD) is np.bool_(case)
 
 
+@pytest.mark.parametrize(
+    ("text", "case"),
+    [
+        ("Ты сук@", True), ("You $lut", True), ("you f**king", True), ("You a$$hole", True), ("you 1d1ot", True), ("You are f*ck1ng", True), ("You d3b1l", True), ("П**но", True), ("drop dea*", True), ("Մարդ չե@, ապու$", True),
+        ("ты**дурак", True), ("**Ты дурак**", True), ("#ты_ #дурак", True), ("Drop dead", True), ("**до сих пор** 2020թ A&B C++ p2p", False), ("до сих пор*", False), ("d***k", False), ("a" + "*" * 5000 + " " + "9" * 5000 + "a", False),
+    ],
+)
+def test_masked_letters(text, case):
+    for whole in (text, "Տունը մեծ է։ " + text + ", գետը հեռու է։"):
+        assert (abuse.scores(pa.array([whole]))[0] >= abuse.THRESHOLD) is np.bool_(case), whole
+
+
 def test_abuse_scores_of_odd_rows(spark):
     rows = abuse.abuse_scores(frame(spark, ODD), "para_id", "text", "kind").collect()
     assert len(rows) == len(ODD) and all(r["score"] == 0 and r["kind"] == "x" for r in rows)
