@@ -6,7 +6,8 @@ that announce a document); a token's scores come from its own features and those
 The field is trained on the driver from the small labelled table of `personal_seeds`; lines are
 decoded by Viterbi in numpy, many at a time. Lines in which no token's score could pay for leaving
 the state "nothing" are not decoded, which changes no result. Found spans are then checked: a name
-needs a surname beside a given name or initial, an address a house number, and so on.
+needs a word beside an initial or given name, or a surname's shape or a word that announces a person
+beside capital words; an address needs a house number, and so on.
 
 Defined results: null and empty texts have no items and stay as they are; lines are counted from 0
 in the text split at `\\n`, empty lines included; repeated items on a line count once per kind.
@@ -28,11 +29,11 @@ from kaghamar.llm.langid import romanised
 from kaghamar.llm.personal_seeds import GIVEN, labelled
 
 STATES = ("nothing", "email", "phone", "identity", "address", "name")
-_AT = r"(?: ?@ ?| ?[(\[{<] ?(?:at|AT|шнік|собака|շնիկ|շուն) ?[)\]}>] ?| (?:собака|շնիկ) )"
+_AT = r"(?: ?@ ?| ?[(\[{<] ?@ ?[)\]}>] ?| ?[(\[{<] ?(?:at|AT|шнік|собака|շնիկ|շուն) ?[)\]}>] ?| (?:собака|շնիկ) )"
 _DOT = r"(?:\.| ?[(\[{] ?(?:dot|DOT|точка|կետ) ?[)\]}] ?)"
-MAIL = rf"[A-Za-z0-9][\w.+\-]*{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+"
+MAIL = rf"[A-Za-z0-9][\w.+\-]*{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+|[A-Za-z0-9][\w.+\-]*(?:{_AT}| (?:at|AT) (?!(?:the|an?|this|that|every|each|one|your|my|our|his|her|its|their) ))[A-Za-z0-9\-]+(?: (?:dot|DOT|точка|կետ) [A-Za-z0-9\-]+)+"
 WEB = r"(?:https?://|www\.)\S+"
-PHONE_FORM = r"(?:\+ ?\d{1,3}(?:[ \-]?\(?\d{2,4}\)?)(?:[ .\-]?\d{2,6}){1,4}|00\d{3}[\- ]\d{2}[\- ]\d{6}|0\d{8}|0\d{2}[ /]\d{2,3}[\- ]\d{2,3}(?:[\- ]\d{2})?|\(0\d{2}\) ?\d{2} \d{2} \d{2}|\(0\d{2}\) ?\d{3}[ \-]\d{3}|\d{3}-\d{4}|1-\d{3}-\d{3}-\d{4}|8 ?\(\d{3}\) ?\d{3}-\d{2}-\d{2}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\-/.]?\d)"
+PHONE_FORM = r"(?:\+ ?\d{1,3}(?:[ \-]?\(?\d{2,4}\)?)(?:[ .\-]?\d{2,6}){1,4}|00\d{3}[\- ]\d{2}[\- ]\d{6}|0\d{8}|0\d{2}[ /]\d{2,3}[\- ]\d{2,3}(?:[\- ]\d{2})?|0\d{2}-\d{2,3}-\d{2}-\d{2}|0\d{2}-\d{3}-\d{3}|\(0\d{2}\) ?\d{2} \d{2} \d{2}|\(0\d{2}\) ?\d{3}[ \-]\d{3}|\d{3}-\d{4}|1-\d{3}-\d{3}-\d{4}|8 ?\(\d{3}\) ?\d{3}-\d{2}-\d{2}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\-/.]?\d)"
 SOCIAL_FORM = r"(?:\d{10}|\d{5}-\d{5}|\d{4} \d{3} \d{3})(?![\-/.]?\d)"
 NUMBER = rf"(?<!\d){PHONE_FORM}|(?<!\d){SOCIAL_FORM}|\d+(?:[./:\-]\d+)*"
 TOKEN = re.compile(rf"\n|{WEB}|{MAIL}|{NUMBER}|[^\W\d_]+|\S")
@@ -45,6 +46,8 @@ PERSON = frozenset("պարոն տիկին օրիորդ ընթերցող գնոր
 LITTLE = frozenset("the a an in on at of and to is was i if by for with as it not after before since every our one this yesterday early last about near le la les un une der die das ein im в на и по с около вчера после до этот наш старый новый и է և որ եթե ըստ այդ պետք ո ոչ երեկ այսօր".split())
 SURNAME = re.compile(r"(?:[ա-ֆև]{3,}(?:յան|եան|յանց|ունի)(?:ի|ին|ը|ն|ից|ով|ների|ները)?|[a-z]{3,}(?:yan|ian|yants)(?:i|in|y)?|[а-яё]{3,}(?:ов|ова|ев|ева|ёв|ин|ина|ын|енко|ук|юк|чук|ский|ская|ян|янц|ич)(?:а|у|ым|ой)?)$")
 NOT_SURNAME = re.compile(r"(?:միջնադ|վայրկ|կայան|արձան|գարնան|աշնան|ձմեռ|ամառ|շատ)")
+#: Abstract nouns, times of day and place names that end like a surname; beside no known given name they are none.
+ABSTRACT = re.compile(r"ությ?[եա]ն|(?:առավոտ|երեկո|ցերեկ|գիշեր|կեսօր|օր|ամ|դար)յան|ունի")
 PHONE, SOCIAL = re.compile(PHONE_FORM), re.compile(SOCIAL_FORM)
 
 
@@ -261,8 +264,14 @@ class Tagger:
                 state[active] = came[t, active, state[active]]
 
 
-def accepted(kind: str, tokens: list[str]) -> bool:
-    """Whether a span that the field found really is an item of its kind."""
+def announced(before: list[str]) -> bool:
+    """Whether the tokens before a span announce a person."""
+    words = [t.lower() for t in before[-2:]]
+    return bool(words) and (words[-1] in PERSON or words[-2:] in (["i", "am"], ["name", "is"]) or words[-1] in ".:՝" and len(words) == 2 and words[0] in PERSON)
+
+
+def accepted(kind: str, tokens: list[str], before: list[str] | None = None) -> bool:
+    """Whether a span that the field found, after the tokens `before`, really is an item of its kind."""
     if kind == "email":
         return any(IS_MAIL.fullmatch(t) for t in tokens)
     if kind == "phone":
@@ -278,7 +287,11 @@ def accepted(kind: str, tokens: list[str]) -> bool:
     if len(words) < 2 or any("small" in f and "given" not in f and "surname" not in f for f in kinds):
         return False
     long = [f for t, f in zip(words, kinds) if len(t) > 2]
-    return bool(long) and (any("initial" in f for f in kinds) or any("given" in f for f in kinds) and len(long) > 1)
+    if bool(long) and (any("initial" in f for f in kinds) or any("given" in f for f in kinds) and len(long) > 1):
+        return True
+    if len(long) < 2 or any("small" in f for f in kinds):
+        return False
+    return any("surname" in f and not ABSTRACT.search(t.lower()) for t, f in zip(words, kinds)) or announced(before or [])
 
 
 def spans(tokens: list[str], states: np.ndarray) -> Iterator[tuple[int, int, str]]:
@@ -290,7 +303,7 @@ def spans(tokens: list[str], states: np.ndarray) -> Iterator[tuple[int, int, str
         while j + 1 < len(at) and at[j + 1] == at[j] + 1 and states[at[j + 1]] == states[at[i]] and tokens[at[j + 1]] != "\n":
             j += 1
         first, last, kind = int(at[i]), int(at[j]) + 1, STATES[states[at[i]]]
-        if accepted(kind, tokens[first:last]):
+        if accepted(kind, tokens[first:last], tokens[max(0, first - 2) : first]):
             yield first, last, kind
         i = j + 1
 

@@ -203,6 +203,18 @@ def test_personal_items(tagger, text, found):
     assert kinds(tagger, text) == found
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Մեր զրուցակիցն էր Արշակ Չոպանյան։", ["name"]), ("The tenant Jean Dupont signed.", ["name"]), ("I am Klaus Müller and I live here.", ["name"]), ("Տիկին Արշալույս Չոպանյան պատմեց", ["name"]),
+        ("Write to anna at mail dot example for more.", ["email"]), ("Write to anna[@]mail.example for more.", ["email"]), ("Զանգահարե՛ք 091-23-45-67 հեռախոսահամարով։", ["phone"]), ("Call 091-234-567 today.", ["phone"]),
+        ("Look at the dot on the map.", []), ("Գետկավանի վիճակագրության համալսարանը փակ է։", []),
+    ],
+)
+def test_personal_items_off_the_lists(tagger, text, found):
+    assert kinds(tagger, text) == found
+
+
 def test_gate_changes_no_state(tagger):
     tokens = [t for text, _ in labelled(1, seed=3) for t in [*personal.TOKEN.findall(text), "\n"]]
     fast = tagger.states(tokens)
