@@ -178,8 +178,8 @@ class Tagger:
         self.field, self.memory = field, memory
         self._clear()
         move = field.move
-        #: The most that leaving "nothing" and coming back can gain by transitions.
-        self.gain = max(0.0, float((move[0, 1:] + move[1:, 0]).max() - 2 * move[0, 0]), float((move[0, 1:]).max() - move[0, 0]))
+        #: The most that leaving "nothing" and coming back can gain by transitions, by whichever kinds and if only one of both happens.
+        self.gain = max(0.0, float(move[0, 1:].max() - move[0, 0])) + max(0.0, float(move[1:, 0].max() - move[0, 0]))
         self.gain_inside = max(0.0, float(move[1:, 1:].max() - move[0, 0]))
 
     def _clear(self) -> None:

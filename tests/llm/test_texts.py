@@ -215,6 +215,30 @@ def test_personal_items_off_the_lists(tagger, text, found):
     assert kinds(tagger, text) == found
 
 
+def test_gate_bounds_every_way_through_a_line():
+    class Small:
+        """Only the transitions count: in by one kind, out by another, or begun at the start of the line."""
+
+        move = np.zeros((len(personal.STATES),) * 2)
+
+        def scores(self, token):
+            out = np.zeros((len(personal.NEIGHBOURS), len(personal.STATES)))
+            out[personal.NEIGHBOURS.index(0), 1:] = -4.0 if token != "\n" else 0
+            return out
+
+    for moves in ({(0, 1): 1.0, (1, 0): -9.0, (2, 0): 9.0, (0, 2): -9.0, (1, 2): 0.0}, {(0, 1): -9.0, (1, 0): 5.0}):
+        field = Small()
+        field.move = np.full_like(Small.move, -9.0)
+        field.move[0, 0] = 0
+        for at, value in moves.items():
+            field.move[at] = value
+        tagger, tokens = personal.Tagger(field), ["a", "b", "c", "d", "\n"]
+        fast = tagger.states(tokens)
+        tagger.gain = 1e9
+        slow = tagger.states(tokens)
+        assert slow.any() and (fast == slow).all()
+
+
 def test_gate_changes_no_state(tagger):
     tokens = [t for text, _ in labelled(1, seed=3) for t in [*personal.TOKEN.findall(text), "\n"]]
     fast = tagger.states(tokens)
