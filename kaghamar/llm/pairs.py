@@ -6,7 +6,8 @@ are found by an Aho-Corasick automaton of first-person phrases, broken ends by a
 and the shape of the last line, and the language by votes of stopwords and letters.
 
 Defined results: a null or blank output is `empty` and nothing else; a null instruction is taken as
-empty, so it can neither be copied nor ask for a language; repeated rows each have their defects.
+empty, so it can neither be copied nor ask for a language; repeated rows each have their defects; a
+copy that reaches the prompt's last word isn't `truncated`.
 """
 
 from __future__ import annotations
@@ -54,6 +55,11 @@ ENUMERATOR = regex.compile(r"(?:^|\n)[ \t]*(?:\d+[.)]|[-*•–])?[ \t]*(?:\*\*|
 VERBS = frozenset("է էր են էին եմ ես եք ենք կա կան չէ չեն e er en ein is are was were has had est sont ist sind есть был была".split())
 #: Words before a copy that still count as a lead-in, and words of a list entry or a short answer.
 LEAD_IN, ENTRY, SHORT = 6, 5, 7
+#: Words beside the sentences that decline, or excuse it, from which on an answer is one all the same.
+REST = 40
+#: Words of sentences that only excuse, explain or soften a refusal.
+EXCUSES = regex.compile(r"\b(?:sorry|apologi[sz]e|unfortunately|guidelines?|policy|policies|language model|as an ai|consult|because|understand|instead|ներող\w*|ցավում|ցավոք|որովհետև|քանի որ|ուղեցույց\w*|կանոններ\w*|լեզվական մոդել\w*|արհեստական բանականություն\w*|դիմե՛?ք|խորհուրդ եմ տալիս|փոխարեն|հասկանում եմ|извин\w*|к сожалению|потому что|поскольку|правил\w*|языков\w+ модел\w+|обратитесь|вместо этого|понимаю|désolée?|malheureusement|leider|entschuldig\w*)\b", regex.I)
+SENTENCE = regex.compile(r"(?<=[։!?…؟。\n]|\.(?=\s))")
 
 
 def words_of(text: str) -> list[str]:
@@ -135,10 +141,21 @@ def refusal_automaton() -> ahocorasick.Automaton:
     return tool
 
 
-def refuses(answer: list[str]) -> bool:
-    """Whether the answer, all of it but a few words, declines."""
-    text = " " + " ".join(answer) + " "
-    return len(answer) <= 40 and next(refusal_automaton().iter(text), None) is not None
+def refuses(text: str, answer: list[str]) -> bool:
+    """Whether the answer, all of it but a few words beside the sentences that decline or excuse it, declines."""
+    declines = lambda words: next(refusal_automaton().iter(" " + " ".join(words) + " "), None) is not None
+    if not declines(answer):
+        return False
+    if len(answer) <= REST:
+        return True
+    rest, declined = 0, False
+    for sentence in SENTENCE.split(text):
+        words = words_of(sentence)
+        if declines(words):
+            declined = True
+        elif not EXCUSES.search(INSIDE.sub("", sentence)):
+            rest += len(words)
+    return declined and rest <= REST
 
 
 def is_list(text: str) -> bool:
@@ -208,13 +225,13 @@ def defects(instruction: str | None, output: str | None) -> list[str]:
         return ["empty"]
     prompt_text = instruction or ""
     found = []
-    copied = copies(words_of(prompt_text), answer)
-    refused = refuses(answer)
-    if refused:
+    prompt = words_of(prompt_text)
+    copied = copies(prompt, answer)
+    if refuses(plain, answer):
         found.append("refusal")
     if copied:
         found.append("copies_question")
-    elif not refused and truncated(plain, answer):
+    if truncated(plain, answer) and not (copied and answer[-1] == prompt[-1]):
         found.append("truncated")
     if other_language(plain, answer, prompt_text):
         found.append("other_language")

@@ -161,6 +161,21 @@ def test_pair_defects(prompt, answer, found):
     assert pairs.defects(prompt, answer) == found
 
 
+WHY = " Որովհետև ես լեզվական մոդել եմ և պետք է հետևեմ ուղեցույցներին, որոնք արգելում են խոսել այն մարդկանց մասին, ովքեր իրենց համաձայնությունը չեն տվել։"
+
+
+@pytest.mark.parametrize(
+    ("answer", "found"),
+    [
+        ("Ներողություն, չեմ կարող պատասխանել այս հարցին։" + 3 * WHY, ["refusal"]), ("Չեմ կարող պատասխանել, " + "քանի որ դա հակասում է իմ կանոններին և այլ մարդկանց շահերին, " * 5 + "և վերջ։", ["refusal"]),
+        ("Չեմ կարող ասել ամեն ինչ։" + " Գետը սնում է քաղաքը, իսկ ձյունը սնում է գետը ամեն գարնան։" * 6, []), ("Ներողություն, չեմ կարող պատասխանել այս հարցին, որովհետև այն շատ մեծ ու հին", ["refusal", "truncated"]),
+        ("Ինչպե՞ս է գետը ազդում քաղաքի", ["copies_question", "truncated"]), (QUESTION[:-1], ["copies_question"]),
+    ],
+)
+def test_long_refusals_and_several_defects(answer, found):
+    assert pairs.defects(QUESTION, answer) == found
+
+
 def test_pair_frame(spark):
     df = spark.createDataFrame([(1, QUESTION, None, "x"), (1, QUESTION, None, "x"), (2, None, None, "x"), (3, QUESTION, QUESTION, "x")], "pair_id long, instruction string, output string, k string")
     assert sorted(tuple(r) for r in pairs.pair_defects(df).collect()) == [(1, "empty"), (1, "empty"), (2, "empty"), (3, "copies_question")]
