@@ -13,11 +13,13 @@ copies; a JSON record is compared field by field at every depth, whatever the or
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from decimal import Decimal
 from functools import lru_cache
 from itertools import zip_longest
+from json.decoder import scanstring
 
 import numpy as np
 import pyarrow as pa
@@ -118,20 +120,95 @@ def parse(chunk: str | None) -> object:
         raise ValueError("null")
     try:
         return json.loads(chunk, parse_constant=_no_constant, parse_float=Decimal)
-    except RecursionError as e:
-        raise ValueError("too deep") from e
+    except RecursionError:
+        return parse_deep(chunk)
+
+
+_BLANKS = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"[^\s\[\]{},:\"]+")
+
+
+def parse_deep(chunk: str) -> object:
+    """What `parse` returns, with a stack of its own, for values nested deeper than `json` can read."""
+    at, size = 0, len(chunk)
+    stack: list[tuple[object, str | None]] = []  # open holders, each with the name of the field being read
+    top: list[object] = []
+    while True:
+        # a value
+        at = _BLANKS.match(chunk, at).end()
+        c = chunk[at : at + 1]
+        if c and c in "[{":
+            value: object = [] if c == "[" else {}
+            at = _BLANKS.match(chunk, at + 1).end()
+            if chunk[at : at + 1] == ("]" if c == "[" else "}"):
+                at += 1
+            else:
+                name = None
+                if c == "{":
+                    name, at = _field_name(chunk, at)
+                stack.append((value, name))
+                continue
+        elif c == '"':
+            value, at = scanstring(chunk, at + 1, True)
+        elif m := _SCALAR.match(chunk, at):
+            value, at = json.loads(m[0], parse_constant=_no_constant, parse_float=Decimal), m.end()
+        else:
+            raise ValueError("no JSON value")
+        # what it ends
+        while True:
+            holder, name = stack[-1] if stack else (top, None)
+            if isinstance(holder, dict):
+                holder[name] = value
+            else:
+                holder.append(value)
+            at = _BLANKS.match(chunk, at).end()
+            if not stack:
+                if at < size:
+                    raise ValueError("more than one value")
+                return top[0]
+            c = chunk[at : at + 1]
+            at += 1
+            if c == ",":
+                if isinstance(holder, dict):
+                    name, at = _field_name(chunk, _BLANKS.match(chunk, at).end())
+                    stack[-1] = (holder, name)
+                break
+            if c != ("}" if isinstance(holder, dict) else "]"):
+                raise ValueError("a holder isn't closed")
+            value = stack.pop()[0]
+
+
+def _field_name(chunk: str, at: int) -> tuple[str, int]:
+    """The name at this place, and the place behind its colon."""
+    if chunk[at : at + 1] != '"':
+        raise ValueError("no field name")
+    name, at = scanstring(chunk, at + 1, True)
+    at = _BLANKS.match(chunk, at).end()
+    if chunk[at : at + 1] != ":":
+        raise ValueError("no colon")
+    return name, at + 1
 
 
 def same_json(a: object, b: object) -> bool:
-    if isinstance(a, str) and isinstance(b, str):
-        return same_letters(a, b)
-    if isinstance(a, dict) and isinstance(b, dict):
-        return a.keys() == b.keys() and all(same_json(v, b[k]) for k, v in a.items())
-    if isinstance(a, list) and isinstance(b, list):
-        return len(a) == len(b) and all(map(same_json, a, b))
-    if isinstance(a, bool) or isinstance(b, bool) or a is None or b is None:
-        return a is b
-    return isinstance(a, (int, Decimal)) and isinstance(b, (int, Decimal)) and a == b
+    """Whether two JSON values are the same record; with a stack of its own, whatever their depth."""
+    stack = [(a, b)]
+    while stack:
+        a, b = stack.pop()
+        if isinstance(a, str) and isinstance(b, str):
+            same = same_letters(a, b)
+        elif isinstance(a, dict) and isinstance(b, dict):
+            same = a.keys() == b.keys()
+            stack += [(v, b[k]) for k, v in a.items()] if same else []
+        elif isinstance(a, list) and isinstance(b, list):
+            same = len(a) == len(b)
+            stack += zip(a, b)
+        elif isinstance(a, bool) or isinstance(b, bool) or a is None or b is None:
+            same = a is b
+        else:
+            same = isinstance(a, (int, Decimal)) and isinstance(b, (int, Decimal)) and a == b
+        if not same:
+            return False
+    return True
 
 
 def _mix(*parts: int) -> int:
@@ -154,38 +231,43 @@ _cached_key = lru_cache(maxsize=1 << 14)(_key_hash)
 
 def json_hashes(values: list[object]) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of each JSON value; fields add up, so that their order doesn't count."""
-    leaves: list[str] = []
-
-    def gather(v: object) -> None:
-        if isinstance(v, str):
-            leaves.append(v)
-        elif isinstance(v, dict):
-            for x in v.values():
-                gather(x)
-        elif isinstance(v, list):
-            for x in v:
-                gather(x)
-
+    # every value after those it holds, and each record's values in one run
+    order: list[object] = []
     for v in values:
-        gather(v)
+        stack = [v]
+        begin = len(order)
+        while stack:
+            v = stack.pop()
+            order.append(v)
+            if isinstance(v, dict):
+                stack += v.values()
+            elif isinstance(v, list):
+                stack += v
+        order[begin:] = order[begin:][::-1]
+    leaves = [v for v in order if isinstance(v, str)]
     points, offsets = flatten(pa.array([x.encode("utf-8", "replace").decode() for x in leaves], pa.string()))
     first, second, _ = rolling_hashes(points, offsets)
     out = []
     for hashes, seed in ((first, 1), (second, 2)):
         rest = iter(hashes.tolist())
 
-        def fold(v: object) -> int:
+        done: list[int] = []  # hashes of values whose holder is still to come
+        for v in order:
             if isinstance(v, str):
-                return _mix(seed, 3, next(rest))  # noqa: B023
-            if isinstance(v, dict):
-                return _mix(seed, 5, len(v), sum([_mix(_cached_key(k, seed), fold(x)) for k, x in v.items()]))  # noqa: B023
-            if isinstance(v, list):
-                return _mix(seed, 7, len(v), *[fold(x) for x in v])  # noqa: B023
-            if v is None or isinstance(v, bool):
-                return _mix(seed, 11, {None: 0, False: 1, True: 2}[v])  # noqa: B023
-            return _mix(seed, 13, hash(v))  # noqa: B023  (equal numbers hash alike)
-
-        out.append(np.array([fold(v) for v in values], np.uint64).view(np.int64))
+                h = _mix(seed, 3, next(rest))
+            elif isinstance(v, (dict, list)):
+                held = done[len(done) - len(v) :]
+                del done[len(done) - len(v) :]
+                if isinstance(v, dict):
+                    h = _mix(seed, 5, len(v), sum([_mix(_cached_key(k, seed), x) for k, x in zip(v, held)]))
+                else:
+                    h = _mix(seed, 7, len(v), *held)
+            elif v is None or isinstance(v, bool):
+                h = _mix(seed, 11, {None: 0, False: 1, True: 2}[v])
+            else:
+                h = _mix(seed, 13, hash(v))  # equal numbers hash alike
+            done.append(h)
+        out.append(np.array(done, np.uint64).view(np.int64))
     return out[0], out[1]
 
 

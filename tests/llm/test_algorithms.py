@@ -68,6 +68,21 @@ def test_json_copies(spark):
     assert found == {(0, 1), (0, 2)}
 
 
+@pytest.mark.parametrize("depth", [500, 3000, 200_000])
+def test_deep_json_copies(spark, depth):
+    deep = lambda leaf: '{"a": [' * depth + leaf + "]}" * depth
+    texts = [deep('"Tun, 1"'), deep(' "tun 1" '), deep('"tun 2"'), deep('"tun 1"') + "]", deep("nope"), '{"a": [' * depth]
+    assert [tuple(r) for r in formatting.formatting_copies(frame(spark, texts), "k", "t", as_json=True).collect()] == [(0, 1)]
+
+
+def test_deep_parser_reads_as_json_does():
+    for text in ['{"a": 1, "b": [true, null, "x\\u0531", {}], "a": [1.50, -2e3, []]}', " [ ] ", "3", '"x"', '{"a": {"b": {"c": ""}}}', "[1, [2, [3]], {}]"]:
+        assert formatting.parse_deep(text) == formatting.parse(text)
+    for text in ["", "[1,]", "[,1]", '{"a" 1}', '{"a": 1,}', "{a: 1}", "[1 2]", "[1]]", "[NaN]", "[1", '{"a": ', '["x]', "[01]", "nul"]:
+        with pytest.raises(ValueError):
+            formatting.parse_deep(text)
+
+
 def test_byte_pairs_match_a_plain_encoder():
     tiktoken = pytest.importorskip("tiktoken")
     tool = bpe.PairIndexEncoder(bpe.default_vocabulary(), memory=200)
