@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     not survive the loss of an executor.
     """
     context = spark.sparkContext
+    # files of checkpoints that nothing refers to any more go, unless the cluster says otherwise
+    context._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = context.getConf().get("spark.checkpoint.dir", None)
@@ -48,6 +51,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a compressed table in the shared folder, read back; for wide rows, of which readers take some columns.
+
+    The table goes when the session ends.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """`df` marked for broadcast if it has at most `rows` rows, else as it is, for a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
