@@ -12,6 +12,8 @@ back by id and never multiply the search. Then a partitioned suffix array finds
 * a segment bisects the array for the run of suffixes whose common prefix with it is as long as the
   segment; where the common prefix ends, so does the run. Of those the ones whose place agrees with
   the edits allowed are shared spans;
+  Two texts of which one has more words that the other lacks than edits are allowed, by bit sets of a
+  fixed width, share none;
 * spans are merged for each pair of records; a pair whose spans cover fewer segments than its edits
   must leave whole is no match, and a bit-parallel edit distance over the words decides the rest.
 
@@ -122,6 +124,12 @@ class Spans:
         self.start = np.searchsorted(self.row, np.arange(rows + 1))
         self.size = np.diff(self.start)
         words = word_hashes(points, begin, end)
+        #: The words of each text as a set of 128 bits.
+        self.marks = np.zeros((2, rows), np.uint64)
+        bit = (words >> np.uint64(20)) % np.uint64(128)
+        for i in range(2):
+            mine = bit >> np.uint64(6) == i
+            np.bitwise_or.at(self.marks[i], self.row[mine], np.uint64(1) << (bit[mine] & np.uint64(63)))
         padded = np.concatenate([words, np.zeros(3, np.uint64)])
         n = len(words)
         two = self._mixed(padded[:n] * _MIX[0] ^ padded[1 : n + 1] * _MIX[1])
@@ -187,12 +195,14 @@ def _suffix_bits(texts: DataFrame) -> np.ndarray:
     return _table(texts.filter("in_eval").select("norm").mapInArrow(run, "word long, bits long"))
 
 
-_ROW = "look long, fourth long, span long, length int, text_id long, place int, size int"
+#: What both sides of the search carry beside the words of a span.
+COLUMNS = ("length", "text_id", "place", "size", "mark0", "mark1")
+_ROW = "look long, fourth long, span long, length int, text_id long, place int, size int, mark0 long, mark1 long"
 
 
 def _rows(batch: pa.RecordBatch, spans: Spans, at: np.ndarray, look: np.ndarray, length: np.ndarray, span: np.ndarray) -> pa.RecordBatch:
     row = spans.row[at]
-    columns = [look.view(np.int64), spans.fourth[at], span.view(np.int64), length.astype(np.int32), np.asarray(batch.column("text_id"))[row], (at - spans.start[row]).astype(np.int32), spans.size[row].astype(np.int32)]
+    columns = [look.view(np.int64), spans.fourth[at], span.view(np.int64), length.astype(np.int32), np.asarray(batch.column("text_id"))[row], (at - spans.start[row]).astype(np.int32), spans.size[row].astype(np.int32), *(m[row].view(np.int64) for m in spans.marks)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in _ROW.split(", ")])
 
 
@@ -250,7 +260,7 @@ def _dealt(segments: DataFrame, suffixes: DataFrame, part_rows: int) -> DataFram
         mine = F.pmod(F.xxhash64("text_id") if is_eval else F.xxhash64("text_id", "place"), own).cast("int")
         every = F.explode(F.sequence(F.lit(0), other - 1))
         i, j = (every, mine) if is_eval else (mine, every)
-        rows = rows.select("look", i.alias("i"), j.alias("j"), F.lit(is_eval).alias("is_eval"), "fourth", "length", "text_id", "place", "size")
+        rows = rows.select("look", i.alias("i"), j.alias("j"), F.lit(is_eval).alias("is_eval"), "fourth", *COLUMNS)
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -258,13 +268,13 @@ def _dealt(segments: DataFrame, suffixes: DataFrame, part_rows: int) -> DataFram
 class SuffixArray:
     """The suffixes of one part in the order of their words, cut to the four that a segment may have."""
 
-    def __init__(self, look: np.ndarray, fourth: np.ndarray, length: np.ndarray, text_id: np.ndarray, place: np.ndarray, size: np.ndarray):
+    def __init__(self, rows: dict[str, np.ndarray]):
         # a suffix that ends after three words sorts before all that go on
-        self.looks, group = np.unique(look, return_inverse=True)
-        after = np.where(length == 4, fourth + 1, 0)
-        order = np.lexsort((place, text_id, after, group))
+        self.looks, group = np.unique(rows["look"], return_inverse=True)
+        after = np.where(rows["length"] == 4, rows["fourth"] + 1, 0)
+        order = np.lexsort((rows["place"], rows["text_id"], after, group))
         self.prefix = (group[order].astype(np.int64) << 33) | after[order]
-        self.text_id, self.place, self.size = text_id[order], place[order], size[order]
+        self.rows = {c: rows[c][order] for c in COLUMNS}
 
     def runs(self, look: np.ndarray, fourth: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """[low, high) of the suffixes whose common prefix with each segment is the whole segment."""
@@ -282,7 +292,8 @@ AT_ONCE = 1 << 20
 
 def shared_spans(segments: dict[str, np.ndarray], suffixes: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
     """(train_text, eval_text, words, train words, eval words) of the spans of one part, one for a segment and a text at most."""
-    array = SuffixArray(*(suffixes[c] for c in ("look", "fourth", "length", "text_id", "place", "size")))
+    array = SuffixArray(suffixes)
+    there = array.rows
     low, high = array.runs(*(segments[c] for c in ("look", "fourth", "length")))
     many = high - low
     upto = np.cumsum(many)
@@ -299,22 +310,27 @@ def shared_spans(segments: dict[str, np.ndarray], suffixes: dict[str, np.ndarray
                 which = np.repeat(np.arange(first, last), n)
                 take = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[which]
             p, n = segments["place"][which], segments["size"][which]
-            q, e = array.place[take], array.size[take]
-            near = (np.abs(p - q) + np.abs((n - p) - (e - q)) <= np.maximum(n, e) // ONE_IN) & (segments["text_id"][which] != array.text_id[take])
+            q, e = there["place"][take], there["size"][take]
+            allowed = np.maximum(n, e) // ONE_IN
+            near = (np.abs(p - q) + np.abs((n - p) - (e - q)) <= allowed) & (segments["text_id"][which] != there["text_id"][take])
+            which, take, allowed = which[near], take[near], allowed[near]
+            mine, theirs = ([side[m][at].view(np.uint64) for m in ("mark0", "mark1")] for side, at in ((segments, which), (there, take)))
+            lacking = lambda x, y: sum(np.bitwise_count(a & ~b).astype(np.int32) for a, b in zip(x, y))
+            near = (lacking(mine, theirs) <= allowed) & (lacking(theirs, mine) <= allowed)
             which, take = which[near], take[near]
             if len(which):
-                order = np.lexsort((array.text_id[take], which))
+                order = np.lexsort((there["text_id"][take], which))
                 which, take = which[order], take[order]
-                new = np.append(True, (which[1:] != which[:-1]) | (array.text_id[take[1:]] != array.text_id[take[:-1]]))
+                new = np.append(True, (which[1:] != which[:-1]) | (there["text_id"][take[1:]] != there["text_id"][take[:-1]]))
                 which, take = which[new], take[new]
-                yield segments["text_id"][which], array.text_id[take], segments["length"][which], segments["size"][which], array.size[take]
+                yield segments["text_id"][which], there["text_id"][take], segments["length"][which], segments["size"][which], there["size"][take]
         first = last
 
 
 def _search(dealt: DataFrame) -> DataFrame:
-    """(train_text, eval_text, place, words, train_words, eval_words): the shared spans of every part."""
+    """(train_text, eval_text, words, train_words, eval_words): the shared spans of every part."""
     names = ["train_text", "eval_text", "words", "train_words", "eval_words"]
-    columns = ("look", "fourth", "length", "text_id", "place", "size")
+    columns = ("look", "fourth", *COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

@@ -162,7 +162,7 @@ def test_edit_bound():
 def test_overlaps_match_brute_force(spark, part_rows):
     r = random.Random(7)
     words = "ա բ գ դ ե զ է ը թ ժ".split()
-    base = [[r.choice(words) for _ in range(r.randint(1, 22))] for _ in range(40)]
+    base = [[r.choice(words) for _ in range(r.randint(1, 22) if i % 4 else r.randint(30, 70))] for i in range(40)]
 
     def near(x):
         x = list(x)
@@ -176,7 +176,8 @@ def test_overlaps_match_brute_force(spark, part_rows):
     texts[1] += ["ա բ գ դ", None, "", "կոնկրետ նույնը այստեղ", "կոնկրետ նույնը այստեղ"]
     train = frame(spark, texts[0])
     evaluation = frame(spark, texts[1]).withColumn("k", F.col("k") + 1000)
-    found = overlap.overlaps(train, evaluation, "k", "t", part_rows).collect()
+    pairs = overlap.overlaps(train, evaluation, "k", "t", part_rows).persist()
+    found = pairs.collect()
     expected = set()
     for i, a in enumerate(texts[0]):
         for j, b in enumerate(texts[1]):
@@ -184,6 +185,42 @@ def test_overlaps_match_brute_force(spark, part_rows):
             if x and y and distance(x, y) <= max(len(x), len(y)) // 5:
                 expected.add((i, 1000 + j))
     assert len(found) == len(set(found)) and {(r["train_id"], r["eval_id"]) for r in found} == expected
-    assert overlap.overlaps(train.limit(0), evaluation, "k", "t").count() == 0
-    report = overlap.overlap_report(overlap.overlaps(train, evaluation, "k", "t"), train.withColumn("source", F.lit(None).cast("string")), evaluation.withColumn("source", F.lit("e")), "k").collect()
+    assert all(0 < r["coverage"] <= 1 for r in found)
+    report = overlap.overlap_report(pairs, train.withColumn("source", F.lit(None).cast("string")), evaluation.withColumn("source", F.lit("e")), "k").collect()
     assert {r["split"]: r["n_rows"] for r in report} == {"train": len(texts[0]), "eval": len(texts[1])}
+
+
+def test_no_overlaps_of_empty_tables(spark):
+    some = frame(spark, ["ա բ գ դ ե"])
+    assert overlap.overlaps(some.limit(0), some, "k", "t").count() == 0
+
+
+def test_rows_of_a_long_text_grow_with_its_words():
+    r = random.Random(8)
+    for n in (4, 5, 8, 11, 12, 19, 1000, 10_000):
+        spans = overlap.Spans(pa.array([" ".join(r.choice("abcdefgh") + str(r.randint(0, 99)) for _ in range(n))]))
+        at, length = spans.segments()
+        assert len(at) == n // 4 + 1 and set(length.tolist()) <= {2, 3, 4}
+        assert at[0] == 0 and (at[1:] == at[:-1] + length[:-1]).all() and at[-1] + length[-1] == n
+        assert sum(len(x) for _, x in spans.suffixes()) <= 2 * n
+
+
+def test_runs_of_the_suffix_array_end_with_the_common_prefix():
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abc") for _ in range(r.randint(4, 30))) for _ in range(60)]
+    spans = overlap.Spans(pa.array(texts))
+    words = [t.split() for t in texts]
+    for first in (2, 3):
+        at = next(x for k, x in spans.suffixes() if k == first)
+        left = spans.size[spans.row[at]] - spans.places()[at]
+        rows = {"look": spans.look[first][at], "fourth": spans.fourth[at], "length": np.minimum(left, 4 if first == 3 else 2), "text_id": spans.row[at], "place": spans.places()[at], "size": spans.size[spans.row[at]], "mark0": at, "mark1": at}
+        array = overlap.SuffixArray(rows)
+        seg, length = spans.segments()
+        mine = (length == 2) == (first == 2)
+        seg, length = seg[mine], length[mine]
+        low, high = array.runs(spans.look[first][seg], spans.fourth[seg], length)
+        for s, n, a, b in zip(seg, length, low, high):
+            row, place = spans.row[s], spans.places()[s]
+            run = {(int(t), int(p)) for t, p in zip(array.rows["text_id"][a:b], array.rows["place"][a:b])}
+            span = words[row][place : place + n]
+            assert run == {(i, p) for i, w in enumerate(words) for p in range(len(w) - n + 1) if w[p : p + n] == span and (first == 3 or len(w) <= overlap.TWO_WORDS)}
