@@ -7,8 +7,10 @@ ASCII; regular expressions that use `.` or anchors carry (?d), so that only \\n
 from __future__ import annotations
 
 import html
+import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -36,7 +38,7 @@ WIKI_RULES = (
     (r"\{\{[^}]*\}\}", ""),
     (r"\[\[(?:[^|\]]*\|)?([^\]]*)\]\]", "$1"),
     (rf"\[https?://[^{WS_CHARS}]+{WS}*([^\]]*)\]", "$1"),
-    (r"\[\[(?:Категория|Category|File|Файл|Image):[^\]]*\]\]", ""),
+    (r"\[\[(?:Категория|Category|Պատկdelays|File|Файл|Image):[^\]]*\]\]", ""),
     (r"'{2,}", ""),
     (r"(?d)={2,}(.+?)={2,}", "$1"),
     (r"(?ds)<ref[^>]*>.*?</ref>", ""),
@@ -65,13 +67,21 @@ def norm_key(c: Column) -> Column:
     return F.lower(ws_clean(c))
 
 
+@F.arrow_udf(StringType())
+def composed(s: pa.Array) -> pa.Array:
+    """Canonical composition (NFC), for which Spark has no built-in."""
+    return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFC", t) for t in s.to_pylist()], pa.string())
+
+
 def clean_chunk(c: Column, keep: str = CLEAN_KEEP) -> Column:
-    """Delete what `keep` doesn't list (neighbours fuse), collapse blanks and blank lines, strip.
+    """Compose, delete what `keep` doesn't list (neighbours fuse), collapse blanks and blank lines, strip.
 
-    Canonical composition matters to the default characters only for the Greek question mark.
+    Of the default characters, composition only makes the Greek question mark a semicolon, so that
+    stays inside code generation; for others the whole text is composed.
     """
+    c = F.translate(c, "\u037e", ";") if keep == CLEAN_KEEP else composed(c)
     # joining the runs to keep is over ten times faster than replacing one character at a time
-    c = F.array_join(F.regexp_extract_all(F.translate(c, "\u037e", ";"), F.lit(f"[{keep}]+"), F.lit(0)), "")
+    c = F.array_join(F.regexp_extract_all(c, F.lit(f"[{keep}]+"), F.lit(0)), "")
     return strip(F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 
@@ -127,9 +137,13 @@ def is_data_file(c: Column) -> Column:
     return c.endswith(".json") & ~c.endswith("_progress.json")
 
 
+#: The fence before and after a whole response.
+FENCE_OPEN, FENCE_CLOSE = rf"^```(?:jsonl?)?{WS}*\n?", rf"\n?```{WS}*\z"
+
+
 def strip_fences(c: Column) -> Column:
     """Without a code fence around the whole text, if it begins with one."""
-    inner = F.regexp_replace(F.regexp_replace(strip(c), rf"^```(?:jsonl?)?{WS}*\n?", ""), rf"\n?```{WS}*\z", "")
+    inner = F.regexp_replace(F.regexp_replace(strip(c), FENCE_OPEN, ""), FENCE_CLOSE, "")
     return F.when(strip(c).startswith("```"), strip(inner)).otherwise(strip(c))
 
 

@@ -11,16 +11,18 @@ from kaghamar.session import cut_lineage, small
 MIN_CHARS = 50
 
 
-def paragraphs(df: DataFrame, key: str, text: str, separator: str = rf"\n{WS}*\n+", least: int = MIN_CHARS) -> DataFrame:
+def paragraphs(df: DataFrame, key: str, text: str, separator: str = rf"\n{WS}*\n+", least: int = MIN_CHARS, at_end: str | None = None) -> DataFrame:
     """(key, pos, paragraph): pieces between blank lines.
 
-    Line ends are unified first. Pieces of fewer than `least` characters are dropped, the last one
-    only if it is blank; pos counts all pieces.
+    Line ends are unified first. Pieces of fewer than `least` characters are dropped, the last one of
+    a file only if it is blank: of every row, or of those whose column `at_end` says that they end
+    their file without a blank line. pos counts all pieces.
     """
     lines = F.regexp_replace(F.col(text), r"\r\n|\r", "\n")
-    pieces = df.select(F.col(key), F.split(lines, separator, -1).alias("p")).select(key, F.size("p").alias("n"), F.posexplode("p").alias("pos", "paragraph"))
+    end = F.col(at_end) if at_end else F.lit(True)
+    pieces = df.select(F.col(key), end.alias("_end"), F.split(lines, separator, -1).alias("p")).select(key, "_end", F.size("p").alias("n"), F.posexplode("p").alias("pos", "paragraph"))
     long = F.length("paragraph") >= least
-    last = (F.col("pos") == F.col("n") - 1) & F.regexp_replace("paragraph", WS, "").isNotNull() & (F.length(F.regexp_replace("paragraph", WS, "")) > 0)
+    last = F.col("_end") & (F.col("pos") == F.col("n") - 1) & F.regexp_replace("paragraph", WS, "").isNotNull() & (F.length(F.regexp_replace("paragraph", WS, "")) > 0)
     return pieces.filter(long | last).select(key, "pos", "paragraph")
 
 
@@ -80,10 +82,14 @@ def totals(stats: DataFrame) -> DataFrame:
     return out.withColumn("compression_pct", share_percent(F.col("chars_in") - F.col("chars_out"), F.col("chars_in")))
 
 
-def keep_first(df: DataFrame, by: list[Column | str], order: list[Column | str]) -> DataFrame:
-    """One row per key, the first in order; a partial aggregate over whole rows, no window."""
-    packed = df.groupBy(*by).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("row"))
-    return packed.select("row.*")
+def keep_first(df: DataFrame, by: Column, order: list[str]) -> DataFrame:
+    """One row per value of `by`, the first in the order of columns that together name a row.
+
+    Only the value's digest and those columns are aggregated, partially before the shuffle, so that a
+    value of very many rows gathers nowhere; whole rows move once, by their own names.
+    """
+    first = df.groupBy(F.md5(by).alias("_digest")).agg(F.min(F.struct(*order)).alias("_first"))
+    return df.join(first.select("_first.*"), order, "left_semi")
 
 
 def first_reason(reasons: list[tuple[str, Column]]) -> Column:

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kaghamar.functions.text import FENCE_CLOSE, FENCE_OPEN
+
 QUESTION_KEYS, ANSWER_KEYS = ("question", "instruction"), ("answer", "output")
 LEAST_LINES, LEAST_ANSWER = 3, 20
 #: The shape of one pair in text that is no valid JSON.
@@ -66,7 +68,7 @@ def found(values: Iterator[object]) -> list[Pair]:
 def parse_pairs(response: str | None) -> list[Pair]:
     text = (response or "").strip()
     if text.startswith("```"):
-        text = re.sub(r"\n?```\s*$", "", re.sub(r"^```(?:jsonl?)?\s*\n?", "", text)).strip()
+        text = re.sub(FENCE_CLOSE.replace(r"\z", r"\Z"), "", re.sub(FENCE_OPEN, "", text)).strip()
     pairs = found(map(loaded, object_lines(text)))
     if len(pairs) >= LEAST_LINES:
         return pairs

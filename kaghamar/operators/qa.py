@@ -143,7 +143,7 @@ def aya_pairs(df: DataFrame, question: str, answer: str, dataset: str, key: str,
 def merge_pairs(pairs: DataFrame, rank: str, key: str) -> DataFrame:
     """Keep-first by the instruction's key in the order of (rank, key); rows with an empty key are dropped."""
     keyed = pairs.withColumn("norm", norm_key(F.col("instruction"))).filter("norm <> ''")
-    return keep_first(keyed, ["norm"], [rank, key])
+    return keep_first(keyed, F.col("norm"), [rank, key])
 
 
 def appropriate(instruction: Column, input_: Column, output: Column) -> Column:

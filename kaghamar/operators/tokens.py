@@ -1,7 +1,7 @@
 """Character tokens, public subword models, token splits and blocks.
 
 Tokens are arrays of ints per row; ids must fit 16 bits where a binary sink asks for it. Order over
-rows comes from a key; running sums are kept per bucket of key ranges, so no task sees all rows.
+rows comes from a key; running sums are kept per range of keys, so no task sees all rows.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kaghamar.functions.codepoints import flatten
+from kaghamar.session import cut_lineage
 
 VALID_SHARE = 0.1
 
@@ -41,7 +43,8 @@ def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tupl
     A batch's code points go through one lookup table at once. Null texts give null.
     """
     codes = _codes(vocabulary)
-    parts = re.compile("(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")") if specials else None
+    parts = re.compile("|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))) if specials else None
+    stand_in = {s: chr(0xD800 + i) for i, s in enumerate(specials)}
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
@@ -49,14 +52,16 @@ def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tupl
         for token, i in codes.items():
             if len(token) == 1:
                 table[ord(token)] = i
+        for s, c in stand_in.items():
+            table[ord(c)] = codes.get(s, -1)
         if parts is None:
             points, offsets = flatten(texts)
-            found = table[points]
-            kept = np.concatenate([[0], np.cumsum(found >= 0)])[offsets]
         else:
-            rows = [[j for p in parts.split(t or "") if p for j in ([codes.get(p, -1)] if p in specials else table[np.frombuffer(p.encode("utf-32-le"), np.uint32)].tolist())] for t in texts.to_pylist()]
-            found = np.array([j for r in rows for j in r], np.int32)
-            kept = np.concatenate([[0], np.cumsum([sum(j >= 0 for j in r) for r in rows])])
+            # each special token as one code point that no text can hold
+            rows = [parts.sub(lambda m: stand_in[m[0]], t or "").encode("utf-32-le", "surrogatepass") for t in texts.to_pylist()]
+            points, offsets = np.frombuffer(b"".join(rows), np.uint32), np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])])
+        found = table[points]
+        kept = np.concatenate([[0], np.cumsum(found >= 0)])[offsets]
         nulls = np.append(np.asarray(texts.is_null()), False)
         return pa.ListArray.from_arrays(pa.array(kept, pa.int32(), mask=nulls), pa.array(found[found >= 0]))
 
@@ -66,10 +71,26 @@ def encode_chars(df: DataFrame, text: str, vocabulary: DataFrame, specials: tupl
 def decode_chars(df: DataFrame, tokens: str, vocabulary: DataFrame, out: str = "text") -> DataFrame:
     """`out`: the characters of the ids; unknown ids are dropped."""
     names = {i: t for t, i in _codes(vocabulary).items()}
+    longer = [t for t in names.values() if len(t) > 1]
+    stand_in = {t: chr(0xD800 + i) for i, t in enumerate(longer)}
+    back = {ord(c): t for t, c in stand_in.items()}
+    size = max(names, default=-1) + 1
 
     @F.arrow_udf(T.StringType())
     def text(ids: pa.Array) -> pa.Array:
-        return pa.array([None if row is None else "".join([names.get(i, "") for i in row]) for row in ids.to_pylist()], pa.string())
+        table = np.zeros(size + 1, np.uint32)
+        for i, t in names.items():
+            table[i] = ord(stand_in.get(t, t))
+        present = np.zeros(size + 1, bool)
+        present[list(names)] = True
+        lengths = np.array([0 if n is None else n for n in pc.list_value_length(ids).to_pylist()], np.int64)
+        flat = np.asarray(pc.fill_null(ids.flatten(), -1))
+        known = np.where((flat >= 0) & (flat < size), flat, size)
+        keep = present[known]
+        ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(lengths)])]
+        whole = table[known[keep]].tobytes().decode("utf-32-le", "surrogatepass")
+        rows = [whole[a:b].translate(back) if back else whole[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        return pa.array(rows, pa.string(), mask=np.asarray(ids.is_null()))
 
     return df.withColumn(out, text(F.col(tokens)))
 
@@ -147,19 +168,20 @@ def decode_pieces(df: DataFrame, key: str, tokens: str, model: str, specials: tu
     return narrow.mapInArrow(run, f"k {narrow.schema['k'].dataType.simpleString()}, text string").withColumnRenamed("k", key)
 
 
-def with_offsets(df: DataFrame, key: str, tokens: str, buckets: int = 256) -> DataFrame:
-    """The rows with `start`: how many tokens come before them in key order.
+def with_offsets(df: DataFrame, key: str, tokens: str) -> DataFrame:
+    """The rows with `_n`, their number of tokens, and `start`: how many tokens come before them in the order of unique keys.
 
-    Keys are cut into ranges; one window runs within a range and one over the ranges' sums.
+    Only keys and numbers are ranged, into as many parts as Spark makes of them: one window runs within a part and one over the
+    parts' sums. Offsets are joined back by key, so that token arrays are never sorted by a window.
     """
-    sized = df.withColumn("_n", F.coalesce(F.size(tokens), F.lit(0)).cast("long"))
-    low, high = (df.agg(f(key)).scalar() for f in (F.min, F.max))
-    width = F.greatest(F.ceil((high - low + 1) / buckets), F.lit(1))
-    sized = sized.withColumn("_b", F.floor((F.col(key) - low) / width))
-    sums = sized.groupBy("_b").agg(F.sum("_n").alias("_s"))
+    n = F.coalesce(F.size(tokens), F.lit(0)).cast("long")
+    narrow = df.select(key, n.alias("_n")).repartitionByRange(key).withColumn("_b", F.spark_partition_id())
+    narrow = cut_lineage(narrow)  # parts stay as they are
+    sums = narrow.groupBy("_b").agg(F.sum("_n").alias("_s"))
     base = sums.withColumn("_base", F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).drop("_s")
     inner = F.sum("_n").over(Window.partitionBy("_b").orderBy(key)) - F.col("_n")
-    return sized.withColumn("_in", inner).join(F.broadcast(base), "_b").withColumn("start", F.col("_base") + F.col("_in")).drop("_b", "_base", "_in")
+    offsets = narrow.withColumn("_in", inner).join(F.broadcast(base), "_b").select(key, "_n", (F.col("_base") + F.col("_in")).alias("start"))
+    return df.join(offsets, key)
 
 
 def split_tokens(df: DataFrame, key: str, tokens: str, share: float = VALID_SHARE) -> DataFrame:

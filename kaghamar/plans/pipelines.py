@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kaghamar.functions.text import ASSISTANT, END, USER
 from kaghamar.operators import corpus, qa, tokens
-from kaghamar.session import cut_lineage
+from kaghamar.session import cut_lineage, written
 from kaghamar.sources import readers, sinks
 
 #: Merge order of the corpus sources, the first wins.
@@ -45,8 +45,8 @@ def prepare_corpus(spark: SparkSession, paths: dict[str, str], out: str, dedup:
     """
     ranks = spark.createDataFrame(list(zip(order, range(1, len(order) + 1))), "source string, priority int")
     texts = readers.load_sources(spark, paths).filter("text is not null")
-    texts = texts.select(F.struct("source", F.monotonically_increasing_id().alias("n")).alias("doc"), "text")
-    pieces = corpus.paragraphs(texts, "doc", "text").select("doc.source", F.struct("doc.n", "pos").alias("pos"), F.col("paragraph").alias("text"))
+    texts = texts.select(F.struct("source", F.monotonically_increasing_id().alias("n")).alias("doc"), "text", "at_end")
+    pieces = corpus.paragraphs(texts, "doc", "text", at_end="at_end").select("doc.source", F.struct("doc.n", "pos").alias("pos"), F.col("paragraph").alias("text"))
     rows = cut_lineage(pieces.withColumn("para_id", F.monotonically_increasing_id()))  # ids are given once
     flagged = cut_lineage(corpus.flag_paragraphs(rows, ranks, "para_id", dedup=dedup))
     stats = cut_lineage(corpus.source_stats(flagged, ranks))
@@ -64,12 +64,17 @@ def merge_instructions(files: list[DataFrame]) -> DataFrame:
     for rank, part in enumerate(files):
         part = part.withColumn("rank", F.lit(rank)).withColumn("row", F.monotonically_increasing_id())
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return qa.merge_pairs(out, "rank", "row").drop("rank", "row", "norm")
+    return qa.merge_pairs(written(out), "rank", "row").drop("rank", "row", "norm")
 
 
-def tokenize(df: DataFrame, key: str, text: str, out: str, specials: tuple[str, ...] = ()) -> DataFrame:
-    """Character vocabulary, token table and its train and valid parts; gives (split, n_tokens)."""
-    vocabulary = cut_lineage(tokens.add_tokens(cut_lineage(tokens.char_vocabulary(df, text)), list(specials)))
+def tokenize(df: DataFrame, key: str, text: str, out: str, specials: tuple[str, ...] = (), vocabulary: DataFrame | None = None) -> DataFrame:
+    """Character vocabulary, token table and its train and valid parts; gives (split, n_tokens).
+
+    A vocabulary given is extended by the special tokens and then by the text's new characters.
+    """
+    own = cut_lineage(tokens.char_vocabulary(df, text))
+    tagged = cut_lineage(tokens.add_tokens(own if vocabulary is None else vocabulary, list(specials)))
+    vocabulary = tagged if vocabulary is None else cut_lineage(tokens.add_tokens(tagged, own))
     encoded = tokens.encode_chars(df.select(key, text), text, vocabulary, specials)
     sinks.write_tokens(encoded, os.path.join(out, "tokens"), key, "tokens")
     table = df.sparkSession.read.parquet(os.path.join(out, "tokens"))
@@ -79,13 +84,20 @@ def tokenize(df: DataFrame, key: str, text: str, out: str, specials: tuple[str,
     return splits.groupBy("split").agg(F.sum(F.size("tokens")).alias("n_tokens"))
 
 
-def prepare_chat(pairs: DataFrame, out: str) -> DataFrame:
-    """Appropriate pairs as tagged chats and their tokens; gives (split, n_tokens)."""
+def prepare_chat(pairs: DataFrame, out: str, vocabulary: DataFrame | None = None) -> DataFrame:
+    """Appropriate pairs as tagged chats and their tokens; gives (split, n_tokens).
+
+    A vocabulary of the first stage is kept, the tags and the chats' new characters go after it.
+    """
     rows = pairs.filter(qa.appropriate(F.col("instruction"), F.col("input"), F.col("output")) & F.col("instruction").isNotNull())
     chats = rows.select(qa.chat(F.col("instruction"), F.col("input"), F.col("output")).alias("chat"))
     chats = chats.withColumn("id", F.monotonically_increasing_id())
     chats.write.mode("overwrite").parquet(os.path.join(out, "chats"))
-    return tokenize(pairs.sparkSession.read.parquet(os.path.join(out, "chats")), "id", "chat", out, (USER, ASSISTANT, END))
+    written = pairs.sparkSession.read.parquet(os.path.join(out, "chats"))
+    # one text, a line for each chat
+    first = written.agg(F.min("id")).scalar()
+    lines = written.select("id", F.when(F.col("id") == first, F.col("chat")).otherwise(F.concat(F.lit("\n"), "chat")).alias("chat"))
+    return tokenize(lines, "id", "chat", out, (USER, ASSISTANT, END), vocabulary)
 
 
 def record_done(done: DataFrame, path: str, on: str) -> None:
@@ -93,8 +105,8 @@ def record_done(done: DataFrame, path: str, on: str) -> None:
     done.select(on).withColumn("done_at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
-def throughput(df: DataFrame, step: str, n_tokens: str, seconds: str, steps: int) -> DataFrame:
-    """(step, tokens per second so far, seconds left)."""
-    upto = Window.orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+def throughput(df: DataFrame, run: str, step: str, n_tokens: str, seconds: str, steps: int) -> DataFrame:
+    """(run, step, tokens per second so far, seconds left) of the logs of training runs."""
+    upto = Window.partitionBy(run).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     spent, read = F.sum(seconds).over(upto), F.sum(n_tokens).over(upto)
-    return df.select(step, (read / spent).alias("tokens_per_s"), (spent / (F.col(step) + 1) * (F.lit(steps) - F.col(step) - 1)).alias("seconds_left"))
+    return df.select(run, step, (read / spent).alias("tokens_per_s"), (spent / (F.col(step) + 1) * (F.lit(steps) - F.col(step) - 1)).alias("seconds_left"))

@@ -29,20 +29,33 @@ def norm_key(e: str) -> str:
 
 
 def clean(e: str, keep: str = KEEP_RE2) -> str:
-    kept = f"regexp_replace(replace({e}, chr(894), ';'), '[^{keep}]', '', 'g')"
+    kept = f"regexp_replace(nfc_normalize({e}), '[^{keep}]', '', 'g')"
     return strip(f"regexp_replace(regexp_replace({kept}, '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
+#: The markup rules in the notation of RE2, written out by themselves; a replacement is a SQL expression.
+WIKI_RE2 = (
+    ("<[^>]+>", "''"),
+    (r"\{\{[^}]*\}\}", "''"),
+    (r"\[\[([^|\]]*\|)?([^\]]*)\]\]", r"'\2'"),
+    (r"\[https?://[^" + WS_RE2[1:] + "+" + WS_RE2 + r"*([^\]]*)\]", r"'\1'"),
+    (r"\[\[(Категория|Category|Պատկdelays|File|Файл|Image):[^\]]*\]\]", "''"),
+    (r"\x27\x27+", "''"),
+    (r"==+([^\n]+?)==+", r"'\1'"),
+    (r"(?s)<ref[^>]*>.*?</ref>", "''"),
+    (r"<ref[^/]*/?>", "''"),
+    (r"&[A-Za-z]+;", "' '"),
+    (r"&#\d+;", "' '"),
+    (r"(?s)\{\|.*?\|\}", "''"),
+    (r"(?m)^" + WS_RE2 + r"*[!|][^\n]*$", "''"),
+    (r"\n\n\n+", "chr(10) || chr(10)"),
+    (r"(?m)^" + WS_RE2 + "*[#*:;]+" + WS_RE2 + "*$", "''"),
+)
+
+
 def wiki(e: str) -> str:
-    for pattern, into in X.WIKI_RULES:
-        flags = ""
-        if pattern.startswith("(?d"):
-            flags = pattern[3 : pattern.index(")")]
-            pattern = pattern[pattern.index(")") + 1 :]
-        pattern = pattern.replace(X.WS, WS_RE2).replace(f"[^{X.WS_CHARS}]", "[^" + WS_RE2[1:]).replace("'", "''")
-        option = f"(?{flags})" if flags else ""
-        into_sql = "chr(10) || chr(10)" if into == "\n\n" else "'" + into.replace("$1", "\\1") + "'"
-        e = f"regexp_replace({e}, '{option}{pattern}', {into_sql}, 'g')"
+    for pattern, into in WIKI_RE2:
+        e = f"regexp_replace({e}, '{pattern}', {into}, 'g')"
     return strip(e)
 
 
@@ -230,8 +243,74 @@ ORACLE: dict[str, str] = {
       SELECT step, round(CASE WHEN step < 500 THEN 3e-4 * step / 500 ELSE 3e-5 + 0.5 * (1 + cos(pi() * least((step - 500) / 9500, 1.0))) * (3e-4 - 3e-5) END, 10) AS lr,
         printf('%02d:%02d:%02d', step // 3600, step % 3600 // 60, step % 60) AS clock, printf('%dm%02ds', step // 60, step % 60) AS minutes FROM s""",
     "running_best": """WITH b AS (SELECT event_id, abs(value) AS loss, min(abs(value)) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM events)
-      SELECT event_id, round(best, 6) AS best_before, best IS NULL OR loss < best AS is_best, round(exp(least(loss, 20.0)), 3) AS perplexity FROM b""",
+      SELECT event_id, round(best, 6) AS best_before, best IS NULL OR loss < best AS is_best, round(exp(least(loss, 20.0)), 3) AS perplexity, round(exp(loss / 10), 6) AS uncapped FROM b""",
     "mean_loss": "SELECT event_type, count(value) AS n, round(avg(abs(value)), 6) AS mean_loss FROM events GROUP BY event_type",
     "topk_threshold": """WITH k AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), t AS (SELECT vec_id, v, list_reverse_sort(v)[5] AS kth FROM k)
       SELECT vec_id, CAST(len(list_filter(v, lambda x: x >= kth)) AS INTEGER) AS n, round(kth, 6) AS threshold FROM t""",
 }
+
+_PIECES = f"""raw AS (SELECT doc_id, regexp_replace({strip('text')}, '\\r\\n|\\r', chr(10), 'g') AS t FROM documents WHERE text IS NOT NULL AND length({strip('text')}) >= 50),
+cut AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'culturax' ELSE 'mc4' END AS source, unnest(string_split_regex(t, '\\n{WS_RE2}*\\n+')) AS p FROM raw)"""
+_TAGGED = f"replace(replace(replace(chat, '{X.USER}', chr(57344)), '{X.ASSISTANT}', chr(57345)), '{X.END}', chr(57346))"
+_APPROPRIATE = f"""fit AS (SELECT c.pair_id, {_TAGGED} AS t FROM chats c JOIN qa_merged q USING (pair_id)
+  WHERE NOT {any_of("lower(coalesce(q.instruction, '') || ' ' || coalesce(q.input, '') || ' ' || coalesce(q.output, ''))", X.BLOCKLIST)} AND length(q.output) >= 10)"""
+_PLAIN = "regexp_replace({0}, '[\"\\\\{{}}\\[\\]`\\x00-\\x1f\\x{{7f}}-\\x{{9f}}\\x{{2028}}\\x{{2029}}]', ' ', 'g')"
+#: Queries over files that they write themselves, and others that the tables alone don't show.
+FILES: dict[str, str] = {
+    "wiki_articles_xml": f"""WITH p AS (SELECT pair_id % 5 AS ns, {lit("'''Վերնագիր''' ")} || output || ' [[File:a.jpg|b]] {{{{t}}}}' AS raw FROM qa_merged WHERE output IS NOT NULL AND NOT regexp_matches(output, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\r\\x{{fffe}}\\x{{ffff}}]'))
+      SELECT 'wiki' AS source, {wiki('raw')} AS text FROM p WHERE ns = 0 AND length(raw) >= 200 AND length({wiki('raw')}) > 100""",
+    "zstd_json_texts": f"SELECT {strip('text')} AS text FROM corpus_raw WHERE length({strip('text')}) >= 50",
+    "xz_documents": f"""WITH p AS (SELECT unnest(string_split_regex(chr(10) || chr(10) || regexp_replace(output, '\\r\\n|\\r', chr(10), 'g') || chr(10) || chr(10), '\\n{WS_RE2}*\\n+')) AS paragraph FROM qa_merged WHERE output IS NOT NULL)
+      SELECT paragraph FROM p WHERE length(paragraph) >= 50""",
+    "source_registry": f"""WITH t AS (SELECT {strip('text')} AS text, lang FROM corpus_raw), s AS (SELECT 'mc4' AS source, text FROM t UNION ALL SELECT 'finetranslations', text FROM t UNION ALL SELECT 'ccnews', text FROM t WHERE lang = 'hy')
+      SELECT source, count(*) AS n_texts, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM s WHERE length(text) >= 50 GROUP BY source""",
+    "first_split_rows": "SELECT item_id FROM armbench_train",
+    "pairs_array": "SELECT CAST(row_number() OVER (ORDER BY pair_id) - 1 AS INTEGER) AS pos, pair_id, instruction, input, output FROM qa_merged",
+    "merged_text": f"SELECT regexp_replace({clean('text')}, '\\n+', ' ', 'g') AS text FROM corpus_raw WHERE {clean('text')} <> ''",
+    "stats_file": f"""WITH {STATS} SELECT CAST(sum(chars_in) AS BIGINT) AS chars_in, CAST(sum(chars_out) AS BIGINT) AS chars_out, CAST(sum(kept) AS BIGINT) AS kept,
+      CAST(sum(dropped_short) AS BIGINT) AS dropped_short, CAST(sum(dropped_duplicates) AS BIGINT) AS dropped_duplicates, count(*) AS n_sources FROM stats""",
+    "pairs_in_files": "SELECT 'qa_merged' AS name, count(*) AS n_pairs FROM qa_merged UNION ALL SELECT 'aya_armenian', count(*) FROM aya_armenian",
+    "token_bin_blocks": f"WITH {_STREAM} SELECT count(*) AS n_tokens, CAST(sum(id) AS BIGINT) AS total, CAST(sum(CAST(id AS BIGINT) * id) AS BIGINT) AS squares, count(*) AS n_written FROM stream",
+    "vocabulary_file": f"WITH {_CHARS} SELECT token, id FROM vocab",
+    "manifest_resume": "SELECT DISTINCT batch_key FROM armenian_qa_qwen WHERE batch_key IS NOT NULL AND right(batch_key, 1) NOT IN ('1', '2')",
+    "orphan_files": "SELECT chunk_id FROM raw_chunks WHERE chunk_id % 4 = 1",
+    "data_files": "WITH n AS (SELECT pair_id, coalesce(source, 'none') || ['.json', '_progress.json', '.txt'][CAST(pair_id % 3 + 1 AS INTEGER)] AS name FROM qa_merged) SELECT pair_id, name FROM n WHERE regexp_matches(name, '[.]json$') AND NOT regexp_matches(name, '_progress[.]json$')",
+    "transient_errors": "SELECT doc_id FROM documents WHERE regexp_matches(lower(text), 'rate|429|overloaded|busy|500|502|503|504|inference error|timeout')",
+    "batch_prompts": """WITH plan AS (SELECT n_name AS topic, CAST(unnest(range(0, 2)) AS INTEGER) AS batch_idx FROM nation)
+      SELECT topic, batch_idx, 'Write about ' || topic || ', part ' || (batch_idx + 1) || ': ' || topic || '!' AS prompt FROM plan""",
+    "first_pairs": "SELECT pair_id, instruction FROM qa_merged ORDER BY pair_id LIMIT 3",
+    "run_throughput": """WITH e AS (SELECT event_id, user_id, CAST(event_id % 7 + 1 AS DOUBLE) AS s FROM events),
+      w AS (SELECT event_id, sum(s) OVER r AS spent, count(*) OVER r * 512 AS n FROM e WINDOW r AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING))
+      SELECT event_id, round(n / spent, 6) AS tokens_per_s, round(spent / (event_id + 1) * (10000 - event_id - 1), 3) AS seconds_left FROM w""",
+    "chat_tokens": f"""WITH {_CHARS}, {_CHAT}, tags AS (SELECT unnest([chr(57344), chr(57345), chr(57346)]) AS token, unnest([0, 1, 2]) AS place),
+      all_tokens AS (SELECT token, id FROM vocab UNION ALL SELECT token, CAST((SELECT count(*) FROM vocab) + place AS INTEGER) FROM tags),
+      pieces AS (SELECT pair_id, unnest(string_split({_TAGGED}, '')) AS token, generate_subscripts(string_split({_TAGGED}, ''), 1) AS i FROM chats),
+      d AS (SELECT pair_id, list(id ORDER BY i) AS ids, string_agg(token, '' ORDER BY i) AS back FROM pieces JOIN all_tokens USING (token) GROUP BY pair_id)
+      SELECT pair_id, CAST(len(ids) AS INTEGER) AS n, list_reduce(ids, lambda a, x: (a * 31 + x) % 1000003, 0::BIGINT) AS checksum,
+        replace(replace(replace(back, chr(57344), '{X.USER}'), chr(57345), '{X.ASSISTANT}'), chr(57346), '{X.END}') AS back FROM d""",
+    "piece_round_trip": f"""WITH {_CHAT} SELECT pair_id, chat AS text, CAST(len(regexp_extract_all(chat, '<\\|(?:user|assistant|end)\\|>')) AS INTEGER) AS n_tags, 32000 AS first_tag, 32002 AS last_tag FROM chats""",
+    "benchmark_union": f"""WITH {NATIONS}, p AS (SELECT *, CASE WHEN label_kind = 'int' AND label_int = 4 THEN 3 WHEN n_nationkey % 3 = 1 AND n_regionkey > 3 THEN NULL WHEN n_nationkey % 3 = 2 AND n_regionkey > 3 THEN NULL ELSE n_regionkey END AS place FROM nations),
+      exam AS (SELECT {_EXAM[0]} AS instruction, {_EXAM[1]} AS output, 'mcq' AS kind FROM nations WHERE n_nationkey % 4 IN (0, 1)
+        UNION ALL SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'Տեքստ:' || chr(10) || r_name || chr(10) || chr(10) || 'Հարց: ' ELSE '' END || {_FULL}, coalesce(label_str, CAST(label_int AS VARCHAR)), 'open' FROM nations WHERE n_nationkey % 4 = 2)
+      SELECT 'train' AS side, 'armbench/' || config || '/' || kind AS source, instruction, output FROM exam, (SELECT unnest(['exam_history', 'exam_math']) AS config)
+      UNION ALL SELECT 'train', 'armbench/include-mcqa', {mcq("question", "choices[1:4]", "place", None)[0]}, {mcq("question", "choices[1:4]", "place", None)[1]} FROM p WHERE place IS NOT NULL
+      UNION ALL SELECT 'eval', 'armbench/simpleqa', {strip('instruction')}, {strip('output')} FROM armbench_eval WHERE {strip("coalesce(instruction, '')")} <> '' AND {strip("coalesce(output, '')")} <> ''""",
+    "instruction_files": f"""WITH {PAIRS}, k AS (SELECT *, {norm_key('instruction')} AS norm FROM pairs)
+      SELECT norm, source, output FROM k WHERE norm <> '' QUALIFY row_number() OVER (PARTITION BY norm ORDER BY rank, pair_id) = 1""",
+    "chat_dataset": f"""WITH {_CHAT}, {_APPROPRIATE}, n AS (SELECT CAST(sum(length(t)) + count(*) - 1 AS BIGINT) AS n FROM fit)
+      SELECT 'train' AS split, CAST(floor(n * (1 - 0.1::DOUBLE)) AS BIGINT) AS n_tokens FROM n UNION ALL SELECT 'valid', n - CAST(floor(n * (1 - 0.1::DOUBLE)) AS BIGINT) FROM n""",
+    "token_dataset": """WITH n AS (SELECT CAST(sum(length(output)) AS BIGINT) AS n FROM qa_merged)
+      SELECT 'train' AS split, CAST(floor(n * (1 - 0.1::DOUBLE)) AS BIGINT) AS n_tokens, 'char' AS kind FROM n UNION ALL SELECT 'valid', n - CAST(floor(n * (1 - 0.1::DOUBLE)) AS BIGINT), 'char' FROM n""",
+    "prepared_corpus": f"""WITH {_PIECES}, c AS (SELECT source, doc_id, length(p) AS chars_in, {clean('p')} AS clean FROM cut WHERE length(p) >= 50),
+      f AS (SELECT *, CASE WHEN length(clean) < 50 THEN 'short' WHEN row_number() OVER (PARTITION BY clean ORDER BY source, doc_id) = 1 THEN 'kept' ELSE 'duplicate' END AS fate FROM c),
+      agg AS (SELECT source, CAST(sum(chars_in) AS BIGINT) AS chars_in, CAST(sum(CASE WHEN fate = 'kept' THEN length(clean) + 2 ELSE 0 END) AS BIGINT) AS chars_out,
+        count(*) FILTER (fate = 'kept') AS kept, count(*) FILTER (fate = 'short') AS dropped_short, count(*) FILTER (fate = 'duplicate') AS dropped_duplicates FROM f GROUP BY source),
+      o AS (SELECT unnest(['wiki', 'wikisource', 'wiktionary', 'wikiquote', 'arlis', 'ccnews', 'glot500', 'hplt3', 'culturax', 'finetranslations', 'mc4', 'cc100']) AS source, unnest(range(1, 13)) AS priority),
+      s AS (SELECT o.source, CAST(o.priority AS INTEGER) AS priority, CASE WHEN kept IS NULL THEN 'missing' ELSE 'ok' END AS status, coalesce(chars_in, 0) AS chars_in, coalesce(chars_out, 0) AS chars_out,
+        coalesce(kept, 0) AS kept, coalesce(dropped_short, 0) AS dropped_short, coalesce(dropped_duplicates, 0) AS dropped_duplicates FROM o LEFT JOIN agg USING (source))
+      SELECT *, {pct('(chars_in - chars_out)', 'chars_in')} AS compression_pct, {pct('dropped_duplicates', '(kept + dropped_duplicates)')} AS duplicate_pct FROM s""",
+    "response_tiers": f"""WITH r AS (SELECT pair_id, {ws_clean(_PLAIN.format('instruction'))} AS q, {ws_clean(_PLAIN.format('output'))} AS a FROM armenian_qa_qwen),
+      g AS (SELECT *, unnest(CASE WHEN pair_id % 5 = 2 THEN [1, 2] ELSE [1, 2, 3] END) AS n FROM r WHERE q <> '' AND length(a) > 20)
+      SELECT pair_id, CAST(n - 1 AS INTEGER) AS pos, q || ' ' || n AS instruction, a AS output FROM g""",
+}
+ORACLE |= FILES

@@ -51,17 +51,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession) -> str:
+    """The name of a new folder in the shared one; it goes when the session ends."""
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    path = f"{context._jsc.sc().getCheckpointDir().get()}/scratch-{uuid.uuid4().hex}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` as a compressed table in the shared folder, read back; for wide rows, of which readers take some columns.
 
     The table goes when the session ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    path = f"{context._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

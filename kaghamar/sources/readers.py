@@ -1,7 +1,7 @@
 """Readers of local copies of the corpus formats; each gives (source, pos?, text) or raw records.
 
-Formats that Spark splits are read by Spark; xz and zstd, which it may lack, are decoded file by file in Arrow
-batches. pos orders the texts of a source: file name, place of the split in the file, row in it.
+Formats that Spark splits are read by Spark; xz and zstd, which it may lack, are decoded file by file as streams, in
+Arrow batches; token files by ranges of bytes. pos orders the texts of a source: file name, place of the split in the file, row in it.
 """
 
 from __future__ import annotations
@@ -47,37 +47,82 @@ def wiki_articles(spark: SparkSession, path: str, source: str) -> DataFrame:
     return kept.select(F.lit(source).alias("source"), "text")
 
 
-def _opened(name: str, content: bytes):  # noqa: ANN202
-    """A text stream over an xz, zstd or plain file's bytes."""
-    source = pa.BufferReader(content)
+def _file_system(path: str):  # noqa: ANN202
+    """(file system, path in it) of a path as Spark names it; files are read as streams, so none is too large for a cell."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def _opened(path: str):  # noqa: ANN202
+    """A text stream over an xz, zstd or plain file, with every kind of line end as \\n."""
+    system, name = _file_system(path)
+    source = system.open_input_stream(name, compression=None)
     if name.endswith((".zst", ".zstd")):
         import zstandard
 
-        return io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(source), "utf-8", "ignore", "\n")
+        return io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True), "utf-8", "ignore")
     if name.endswith(".xz"):
-        return lzma.open(source, "rt", encoding="utf-8", errors="ignore", newline="\n")
-    return io.TextIOWrapper(source, "utf-8", "ignore", "\n")
+        return lzma.open(source, "rt", encoding="utf-8", errors="ignore")
+    return io.TextIOWrapper(source, "utf-8", "ignore")
 
 
-def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, value) of files in codecs that Spark may lack, decoded as streams in bounded batches."""
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files, one task for each while there are cores; their contents aren't read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    return files.repartition(max(1, min(files.count(), 10_000)), "path")
+
+
+def _decoded(spark: SparkSession, path: str, schema: str, rows_of: Callable[[str], Iterator[tuple]]) -> DataFrame:
+    """Rows of each file, in batches of at most 10,000 rows or about 8 million characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "line_no", "value"]
+        names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                with _opened(name, content) as lines:
-                    rows: list[tuple[str, int, str]] = []
-                    for i, line in enumerate(lines):
-                        rows.append((name, i, line.rstrip("\n")))
-                        if len(rows) == 10_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names)
-                            rows = []
-                    if rows:
+            for name in batch.column("path").to_pylist():
+                rows, size = [], 0
+                for row in rows_of(name):
+                    rows.append(row)
+                    size += len(row[2])
+                    if len(rows) == 10_000 or size > 8_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names)
+
+    return _files(spark, path).select("path").mapInArrow(run, schema)
+
+
+def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, value) of files in codecs that Spark may lack, decoded as streams in bounded batches."""
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, line_no long, value string")
+    def rows_of(name: str) -> Iterator[tuple]:
+        with _opened(name) as lines:
+            for i, line in enumerate(lines):
+                yield name, i, line.removesuffix("\n")
+
+    return _decoded(spark, path, "path string, line_no long, value string", rows_of)
+
+
+def decoded_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(path, doc_no, text, at_end): runs of lines between blank ones; at_end where the file ends without a blank line."""
+
+    def rows_of(name: str) -> Iterator[tuple]:
+        with _opened(name) as lines:
+            held: list[str] = []
+            number = 0
+            for line in lines:
+                if line.strip():
+                    held.append(line)
+                elif held:
+                    yield name, number, "".join(held).removesuffix("\n"), False
+                    held, number = [], number + 1
+            if held:
+                yield name, number, "".join(held).removesuffix("\n"), True
+
+    return _decoded(spark, path, "path string, doc_no long, text string, at_end boolean", rows_of)
 
 
 def json_texts(lines: DataFrame, value: str = "value", field: str = "text", least: int = 50) -> DataFrame:
@@ -127,21 +172,42 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return whole.select(F.posexplode(F.from_json("value", f"array<struct<{schema}>>")).alias("pos", "r")).select("pos", "r.*")
 
 
-def token_bins(spark: SparkSession, path: str) -> DataFrame:
-    """(path, tokens): unsigned 16-bit little-endian token files, in blocks of a million tokens."""
+#: Tokens of one row of a token file, and rows that one task reads.
+BLOCK_TOKENS, TASK_BLOCKS = 1 << 20, 32
+
+
+def token_bins(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, where: str = "true") -> DataFrame:
+    """(path, block, tokens): unsigned 16-bit little-endian token files of any size, by ranges of bytes.
+
+    `where` is a condition on path and block; only the blocks that meet it are read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                ids = np.frombuffer(content, "<u2")
-                for block, at in enumerate(range(0, len(ids), 1 << 20)):
-                    part = pa.array(ids[at : at + (1 << 20)].astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([block], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)], ["path", "block", "tokens"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, block int, tokens array<int>")
+            for name, block in zip(batch.column("path").to_pylist(), batch.column("block").to_pylist()):
+                system, place = _file_system(name)
+                with system.open_input_file(place) as file:
+                    content = file.read_at(2 * block_tokens, 2 * block_tokens * block)
+                part = pa.array(np.frombuffer(content[: len(content) // 2 * 2], "<u2").astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([block], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)], ["path", "block", "tokens"])
+
+    files = spark.read.format("binaryFile").load(path).filter("length > 1").select("path", "length")
+    last = F.ceil(F.floor(F.col("length") / 2) / block_tokens).cast("int") - 1
+    ranges = files.select("path", F.explode(F.sequence(F.lit(0), last)).alias("block")).filter(where)
+    ranges = ranges.withColumn("task", F.floor(F.col("block") / TASK_BLOCKS)).repartition("path", "task")
+    return ranges.select("path", "block").mapInArrow(run, "path string, block int, tokens array<int>")
+
+
+def first_split(spark: SparkSession, folder: str, order: tuple[str, ...] = ("train", "validation", "test")) -> DataFrame:
+    """The rows of the first split of a data set: the first subfolder of the order that is there, else the first by name."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    names = sorted(s.getPath().getName() for s in place.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(place) if s.isDirectory())
+    if not names:
+        raise FileNotFoundError(f"no split in {folder}")
+    return spark.read.parquet(f"{folder}/{next((n for n in order if n in names), names[0])}")
 
 
 #: Readers by source, each (spark, path) -> DataFrame with `text`; add to it to add a source.
@@ -151,7 +217,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wiktionary": lambda s, p: wiki_articles(s, p, "wiktionary"),
     "wikiquote": lambda s, p: wiki_articles(s, p, "wikiquote"),
     "arlis": lambda s, p: legal_texts(decoded_lines(s, p)).select("text"),
-    "cc100": lambda s, p: decoded_lines(s, p).select(F.col("value").alias("text")),
+    "cc100": lambda s, p: decoded_documents(s, p).select("text", "at_end"),
     "hplt3": lambda s, p: json_texts(decoded_lines(s, p) if p.endswith((".zst", ".zstd", ".xz")) else s.read.text(p)),
     "ccnews": lambda s, p: records(s.read.parquet(p), "plain_text", 50, {"language": "hy"}),
     "opensubtitles": lambda s, p: bitext_side(s.read.parquet(p), "hy"),
@@ -163,9 +229,14 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def load_sources(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(source, text): the union of the named sources, each by its reader."""
-    frames = [REGISTRY[name](spark, path).select(F.lit(name).alias("source"), "text") for name, path in paths.items()]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
+    """(source, text, at_end): the union of the named sources, each by its reader.
+
+    at_end tells the text that ends a raw text file without a blank line; the other formats end every text with one.
+    """
+    out = None
+    for name, path in paths.items():
+        rows = REGISTRY[name](spark, path)
+        end = F.col("at_end") if "at_end" in rows.columns else F.lit(False)
+        rows = rows.select(F.lit(name).alias("source"), "text", end.alias("at_end"))
+        out = rows if out is None else out.unionByName(rows)
     return out

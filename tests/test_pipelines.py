@@ -43,5 +43,5 @@ def test_benchmarks_and_manifest(spark, tmp_path):
     from kaghamar.operators.corpus import without_done
 
     assert without_done(names, spark.read.parquet(str(tmp_path / "done")), "name").count() == 1
-    speed = pipelines.throughput(spark.range(3).withColumn("n", F.lit(10)).withColumn("s", F.lit(2.0)), "id", "n", "s", 5).orderBy("id").collect()
+    speed = pipelines.throughput(spark.range(3).withColumn("run", F.lit("a")).withColumn("n", F.lit(10)).withColumn("s", F.lit(2.0)), "run", "id", "n", "s", 5).orderBy("id").collect()
     assert [(r["tokens_per_s"], r["seconds_left"]) for r in speed] == [(5.0, 8.0), (5.0, 6.0), (5.0, 4.0)]

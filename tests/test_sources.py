@@ -51,6 +51,40 @@ def test_zstd(spark, tmp_path):
     assert readers.REGISTRY["hplt3"](spark, str(tmp_path / "a.zst")).count() == 1
 
 
+def test_documents_of_a_raw_text_file(spark, tmp_path):
+    short = "Տող մեկ այստեղ է և այլն"
+    body = f"{short}\r\n{short}\n{short}\n{BODY}\n\n  \n{short}\n\n{BODY}\n{short}"
+    with lzma.open(tmp_path / "hy.txt.xz", "wt", encoding="utf-8", newline="") as file:
+        file.write(body)
+    rows = readers.REGISTRY["cc100"](spark, str(tmp_path / "hy.txt.xz")).collect()
+    assert [(r["text"].count("\n"), r["at_end"]) for r in rows] == [(3, False), (0, False), (1, True)]
+    (tmp_path / "b.txt").write_text(f"{BODY}\n\nկարճ", encoding="utf-8")
+    for name, kept in (("hy.txt.xz", 2), ("b.txt", 2)):
+        docs = readers.load_sources(spark, {"cc100": str(tmp_path / name)}).withColumn("k", F.monotonically_increasing_id())
+        assert corpus.paragraphs(docs, "k", "text", at_end="at_end").count() == kept
+    assert corpus.paragraphs(docs.withColumn("at_end", F.lit(False)), "k", "text", at_end="at_end").count() == 1
+
+
+def test_large_files_are_read_by_path(spark, tmp_path):
+    """A sparse token file beyond what one cell holds, by ranges; only the ranges looked at are read."""
+    with open(tmp_path / "big.bin", "wb") as file:
+        file.truncate((2 << 30) + 6)
+        file.seek(2 << 30)
+        file.write(bytes([1, 0, 2, 0, 3, 0]))
+    blocks = readers.token_bins(spark, str(tmp_path / "big.bin"), 1 << 20, "block % 512 = 0").select("block", F.size("tokens").alias("n"), F.element_at("tokens", -1).alias("last"))
+    assert sorted(map(tuple, blocks.collect())) == [(0, 1 << 20, 0), (512, 1 << 20, 0), (1024, 3, 3)]
+
+
+def test_written_lines_come_back(spark, tmp_path):
+    rows = spark.createDataFrame([(f"տող {i}",) for i in range(50)] + [(None,)], "v string")
+    for codec in ("zst", "xz"):
+        folder = str(tmp_path / codec)
+        assert sinks.write_lines(rows, folder, "v", codec).agg(F.sum("n_lines")).first()[0] == 50
+        assert sorted(r["value"] for r in readers.decoded_lines(spark, folder).collect()) == sorted(f"տող {i}" for i in range(50))
+    sinks.write_pairs_array(rows.limit(0), str(tmp_path / "none"), ["v"])
+    assert readers.json_array(spark, str(tmp_path / "none"), "v: string").count() == 0
+
+
 def test_parquet_scan_prunes_and_pushes(spark, tmp_path):
     df = spark.createDataFrame([("ա" * 60, "hy", 1), ("ա" * 60, "en", 2), (None, "hy", 3), ("կարճ", "hy", 4)], "plain_text string, language string, more int")
     df.write.parquet(str(tmp_path / "p"))
