@@ -414,34 +414,50 @@ def scores(column: pa.Array) -> np.ndarray:
     _collect(folded, np.arange(rows), best)
     if len(folded.spelled):
         texts = [join_spelled(points[offsets[i] : offsets[i + 1]].tobytes().decode("utf-32-le", "replace")) for i in folded.spelled]
-        _collect(Folded(*flatten(pa.array(texts))), folded.spelled, best)
+        _collect(Folded(*flatten(pa.array(texts))), folded.spelled, best, least=4)
     return best
 
 
-def _collect(folded: Folded, names: np.ndarray, best: np.ndarray) -> None:
-    """Raise best[names[row]] to the largest sum of distinct entries in a stretch of the row."""
+def _collect(folded: Folded, names: np.ndarray, best: np.ndarray, least: int = 0) -> None:
+    """Raise best[names[row]] to the largest sum of distinct entries of `least` letters or more in a stretch of the row."""
     row = folded.row
     open_hits: list[tuple[int, int, float]] = []
     open_row = -1
 
-    def total(hits: list[tuple[int, int, float]]) -> float:
-        """Sum over distinct entries; exception phrases weigh against what is no case by itself."""
-        found = {k: w for _, k, w in hits}.values()
-        weak = sum(w for w in found if w < THRESHOLD)
-        return sum(w for w in found if w >= THRESHOLD) + max(0.0, weak)
-
     def settle() -> None:
-        if any(w > 0 for _, _, w in open_hits):
-            top = max(total([h for h in open_hits if abs(h[0] - at) <= STRETCH]) for at, _, w in open_hits if w > 0)
-            best[names[open_row]] = max(best[names[open_row]], top)
+        """The best stretch about each hit, by two pointers over the row's hits in the order of their places.
+
+        An entry counts once in a stretch; exception phrases weigh against what is no case by itself.
+        """
+        held: dict[int, int] = {}
+        strong = weak = 0  # in thousandths, so that adding and taking away leaves nothing behind
+        first = last = top = 0
+        for at, _, weight in open_hits:
+            while last < len(open_hits) and open_hits[last][0] <= at + STRETCH:
+                _, number, w = open_hits[last]
+                held[number] = held.get(number, 0) + 1
+                if held[number] == 1:
+                    strong, weak = (strong + round(1000 * w), weak) if w >= THRESHOLD else (strong, weak + round(1000 * w))
+                last += 1
+            while open_hits[first][0] < at - STRETCH:
+                _, number, w = open_hits[first]
+                held[number] -= 1
+                if not held[number]:
+                    strong, weak = (strong - round(1000 * w), weak) if w >= THRESHOLD else (strong, weak - round(1000 * w))
+                first += 1
+            if weight > 0:
+                top = max(top, strong + max(0, weak))
+        best[names[open_row]] = max(best[names[open_row]], top / 1000)
 
     hits = []
     for end, (number, weight, length) in automaton().iter(folded.text()):
         at = row[end]
+        if length - 2 < least:
+            continue
         if row[end - length + 1] == at or length > 1 and row[end - length + 2] == at:
             hits.append((int(at), end - length, number, weight))
     about_signs = [(r, start - 1, number, weight) for r, start, number, weight in masked_hits(folded)]
-    for at, place, number, weight in sorted(hits + about_signs) if about_signs else hits:
+    for at, place, number, weight in sorted(hits + about_signs):
         if at != open_row:
             if open_hits:
                 settle()
