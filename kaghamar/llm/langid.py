@@ -1,16 +1,17 @@
 """Language of each text and of each segment of a mixed one, by nearest centroids.
 
-Texts are cut into sentences; each sentence becomes a TF-IDF vector of hashed character trigrams and
+Texts are cut into sentences; each sentence becomes a TF-IDF vector of hashed runs of two and three letters and
 is compared by cosine with several centroids per language, found by spherical k-means over labelled
 sentences. A sentence nearer to no centroid than that centroid's own training distance allows is
-rejected. Adjacent sentences of one language form a segment.
+rejected, and so is one clearly nearer to a centroid of a language that isn't of the corpus. Adjacent
+sentences of one language form a segment.
 
 The centroids are fitted on the driver from seed sentences and at most `FIT_ROWS` labelled rows
 (chosen by the hash of their id); labels of mixed texts are put right by fitting twice, the second
 time without the sentences that the first fit assigns to another language.
 
-Defined results: null and blank texts have no language; a text without any accepted sentence takes
-the language of its nearest centroid over the whole text, or `und` without letters.
+Defined results: null and blank texts have no language; a text of sentences too short to count is
+looked at as a whole; one that is rejected as a whole, too, has no language (`und` in segments).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from kaghamar.functions.codepoints import flatten, slices
 from kaghamar.llm import quality
+from kaghamar.llm.langid_seeds import seed_sentences
 from kaghamar.llm.quality_seeds import PROSE
 
 #: Bound of the labelled sample that the centroids are fitted on.
@@ -34,8 +36,13 @@ BUCKETS = 1 << 15
 CENTROIDS = 3
 #: Words of a sentence for it to count as one, and the words after which a run without a stop is cut.
 LEAST_WORDS, MOST_WORDS, PIECE = 4, 30, 10
-#: A sentence is rejected below this share of the least similarity in training.
-SLACK = 0.55
+#: A sentence is rejected below this share of the least similarity in training, or below this similarity at once,
+#: whichever is less: training sentences resemble each other more than what people write elsewhere.
+SLACK, FLOOR = 0.55, 0.08
+#: How much nearer a language that isn't of the corpus must be for a sentence to be rejected.
+MARGIN = 1.1
+#: A sentence of less confidence than this (half of it is none) doesn't speak for a language in a text of several.
+SURE = 0.55
 SEED_LANGS = {"ru": slice(-9, -7), "uk": slice(-7, -6), "en": slice(-6, -4), "fr": slice(-4, -3), "de": slice(-3, -2), "fa": slice(-2, -1), "ka": slice(-1, None)}
 
 
@@ -101,9 +108,10 @@ class Units:
         self.start = np.flatnonzero(begin)
         self.end = np.append(self.start[1:], size)
         self.row = row_of[self.start] if size else np.zeros(0, np.int64)
+        self.script = np.zeros(len(self.words), np.int64)  # of most letters; known once the grams are
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """(unit, bucket) of each trigram of letters, words set off by one space."""
+        """(unit, bucket) of each run of two and of three letters, words set off by one space."""
         keep = self.letter > 0
         letter, unit = self.letter[keep], self.unit[keep]
         if len(letter) == 0:
@@ -113,6 +121,7 @@ class Units:
         n = len(self.words)
         parted = letter == 32
         most = np.bincount(unit[~parted] * (len(SCRIPTS) + 1) + script[~parted], minlength=n * (len(SCRIPTS) + 1)).reshape(n, -1).argmax(1)
+        self.script[: len(most)] = most
         letter = np.where(parted | (script == most[unit]), letter, 32)
         parted = letter == 32
         once = ~(parted & np.append(False, parted[:-1]))
@@ -121,9 +130,12 @@ class Units:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         a, b, c = letter[:-2], letter[1:-1], letter[2:]
         ok = (unit[:-2] == unit[2:]) & (b != 32)
+        two = (unit[:-1] == unit[1:]) & (letter[:-1] != letter[1:])
+        pairs = ((letter[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (letter[1:] * np.uint64(0xD6E8FEB86659FD93)))[two]
+        pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (c * np.uint64(0x165667B19E3779F9))
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return unit[:-2][ok], (h[ok] >> np.uint64(49)).astype(np.int64)
+        return np.concatenate([unit[:-2][ok], unit[:-1][two]]), (np.concatenate([h[ok], pairs]) >> np.uint64(49)).astype(np.int64)
 
 
 def counted(unit: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,6 +189,9 @@ class Centroids:
             best = self.classes[self._dots(u, b, value, self.weights, len(units.words)).argmax(1)]
             use = ok & ((best == lang) | sure)
         self._fit(u, b, value, lang, use, CENTROIDS)
+        #: The centroids that units of each script may be near to.
+        pairs = {(s, x) for s, x, y in zip(units.script.tolist(), lang, use) if y}
+        self.columns = {s: np.flatnonzero([(s, x) in pairs for x in self.classes]) for s in range(len(SCRIPTS) + 1)}
 
     def _fit(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, lang: np.ndarray, ok: np.ndarray, k: int) -> None:
         columns, names, least = [], [], []
@@ -186,7 +201,7 @@ class Centroids:
             place[members] = np.arange(len(members))
             mine = place[u] >= 0
             rows, cols, vals = place[u[mine]], b[mine], value[mine]
-            n = min(k, len(members))
+            n = 1 if name.startswith("~") else min(k, len(members))
             centre = np.zeros((BUCKETS, n), np.float32)
             pick = self._spread(rows, cols, vals, len(members), n)
             for j, i in enumerate(pick):
@@ -210,12 +225,13 @@ class Centroids:
             names += [name] * n
             least += [float(np.quantile(dots[near == j, j], 0.02)) if (near == j).any() else 1.0 for j in range(n)]
         self.classes = np.array(names, object)
+        self.known = np.array([not x.startswith("~") for x in names])
         self.langs = np.array([x.split("-")[0] for x in names], object)
         names = self.langs.tolist()
         self.order = list(dict.fromkeys(names))
         self.group = np.array([self.order.index(x) for x in names])
         self.weights = np.concatenate(columns, 1)
-        self.least = np.array(least, np.float32) * SLACK
+        self.least = np.minimum(np.array(least, np.float32) * SLACK, FLOOR)
 
     @staticmethod
     def _dots(u: np.ndarray, b: np.ndarray, value: np.ndarray, weights: np.ndarray, rows: int) -> np.ndarray:
@@ -237,30 +253,50 @@ class Centroids:
             picked.append(int(close.argmin()))
         return picked
 
-    def _nearest(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(language's number, confidence, accepted) of each unit."""
-        dots = self._dots(u, b, value, self.weights, rows)
-        best = dots.argmax(1)
+    def _nearest(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, script: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(language's number, confidence, accepted) of each unit; a script of -1 means that any centroid may be near."""
+        rows = len(script)
+        dots = np.zeros((rows, len(self.classes)), np.float32)
+        place = np.zeros(rows, np.int64)
+        for s in np.unique(script).tolist():
+            mine = np.flatnonzero(script == s)
+            columns = self.columns[s] if s >= 0 else np.arange(len(self.classes))
+            if len(columns):
+                place[mine] = np.arange(len(mine))
+                some = script[u] == s
+                dots[np.ix_(mine, columns)] = self._dots(place[u[some]], b[some], value[some], self.narrow(s, columns), len(mine))
+        strange = dots[:, ~self.known].max(1, initial=0)
+        best = np.where(self.known, dots, -1).argmax(1)
         top = dots[np.arange(rows), best]
         per_lang = np.stack([dots[:, self.group == g].max(1) for g in range(len(self.order))], 1)
         per_lang[np.arange(rows), self.group[best]] = 0
         second = np.maximum(per_lang.max(1), 0) if per_lang.shape[1] else np.zeros(rows)
         confidence = np.where(top > 0, top / np.maximum(top + second, 1e-9), 0)
-        return self.group[best], confidence, top >= self.least[best]
-
-    def classify(self, unit: np.ndarray, bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(language's number, confidence, accepted, has grams) of n units given their grams."""
+        return self.group[best], confidence, (top >= self.least[best]) & (strange <= MARGIN * top)
+
+    def narrow(self, script: int, columns: np.ndarray) -> np.ndarray:
+        """The weights of some columns, side by side in memory."""
+        cache = self.__dict__.setdefault("_narrow", {})
+        if script not in cache:
+            cache[script] = np.ascontiguousarray(self.weights[:, columns])
+        return cache[script]
+
+    def classify(self, unit: np.ndarray, bucket: np.ndarray, script: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(language's number, confidence, accepted, has grams) of units given their grams and scripts."""
+        n = len(script)
         u, b, c = counted(unit, bucket)
         value = c * self.idf[b]
         norm = np.sqrt(np.bincount(u, value.astype(np.float64) ** 2, n)).astype(np.float32)
         value = value / np.maximum(norm[u], 1e-9)
-        return (*self._nearest(u, b, value, n), norm > 0)
+        return (*self._nearest(u, b, value, script), norm > 0)
 
 
 def fit(spark_rows: list[tuple[str, str]]) -> Centroids:
     """Centroids from seed sentences and labelled (text, lang) rows."""
     native = [t for t in PROSE if any("ա" <= c <= "ֆ" for c in t)]
     seeds = [(t, "hy") for t in native] + [(romanised(t), "hy") for t in native] + [(t, lang) for lang, part in SEED_LANGS.items() for t in PROSE[part]]
+    more = seed_sentences()
+    seeds += more + [(romanised(t), "hy") for t, lang in more if lang == "hy"]
     texts = [t for t, _ in seeds] + [t for t, _ in spark_rows]
     langs = [x for _, x in seeds] + [x for _, x in spark_rows]
     return Centroids(texts, langs, [True] * len(seeds) + [False] * len(spark_rows))
@@ -282,23 +318,26 @@ class Identified:
         units = self.units = Units(points, offsets)
         rows, n = units.rows, len(units.words)
         gram_unit, gram = units.grams()
-        groups, confidence, accepted, has = model.classify(gram_unit, gram, n)
+        groups, confidence, accepted, has = model.classify(gram_unit, gram, units.script)
         order = np.array(model.order, object)
         listed = np.isin(kinds, ("list",))
-        counts = accepted & has & (units.words >= LEAST_WORDS) & ~listed[units.row] if n else np.zeros(0, bool)
+        counts = accepted & has & (confidence >= SURE) & (units.words >= LEAST_WORDS) & ~listed[units.row] if n else np.zeros(0, bool)
         self.lang, self.confidence, self.counts = order[groups], confidence, counts
         # the whole text is looked at only where no sentence of it counts
         told = np.bincount(units.row[counts], minlength=rows) > 0
         rest = ~told[units.row[gram_unit]] if n else np.zeros(0, bool)
         names = np.cumsum(~told) - 1
-        whole = model.classify(names[units.row[gram_unit[rest]]] if n else gram_unit, gram[rest], int((~told).sum()))
+        least, most = np.full(rows, 99), np.full(rows, -1)
+        np.minimum.at(least, units.row, units.script)
+        np.maximum.at(most, units.row, units.script)
+        whole = model.classify(names[units.row[gram_unit[rest]]] if n else gram_unit, gram[rest], np.where(least == most, most, -1)[~told])
         self.whole_lang, self.whole_confidence, self.any = np.full(rows, None, object), np.zeros(rows), told.copy()
-        self.whole_lang[~told], self.whole_confidence[~told], self.any[~told] = order[whole[0]], whole[1], whole[3]
+        self.whole_lang[~told], self.whole_confidence[~told], self.any[~told] = order[whole[0]], whole[1], whole[2] & whole[3]
         self.order = model.order
         self.sentences = np.bincount(units.row[counts] * len(model.order) + groups[counts], minlength=rows * len(model.order)).reshape(rows, -1)
 
     def languages(self, row: int) -> list[str]:
-        """The languages with a full sentence in the row; else the nearest over the whole text."""
+        """The languages with a full sentence in the row; else that of the whole text, if it is accepted."""
         found = [self.order[g] for g in np.flatnonzero(self.sentences[row])]
         return found or ([self.whole_lang[row]] if self.any[row] else [])
 
