@@ -5,9 +5,8 @@ tell its shape, its endings, and whether it belongs to short lists (given names,
 that announce a document); a token's scores come from its own features and those of its neighbours.
 The field is trained on the driver from the small labelled table of `personal_seeds`; lines are
 decoded by Viterbi in numpy, many at a time. Lines in which no token's score could pay for leaving
-the state "nothing" are not decoded, which changes no result. Found spans are then checked: a name
-needs a word beside an initial or given name, or a surname's shape or a word that announces a person
-beside capital words; an address needs a house number, and so on.
+the state "nothing" are not decoded, which changes no result. The field decides; of what it finds only
+the form is checked: a name has two words, an address a house number, and so on.
 
 Defined results: null and empty texts have no items and stay as they are; lines are counted from 0
 in the text split at `\\n`, empty lines included; repeated items on a line count once per kind.
@@ -16,6 +15,7 @@ in the text split at `\\n`, empty lines included; repeated items on a line count
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,21 +33,30 @@ _AT = r"(?: ?@ ?| ?[(\[{<] ?@ ?[)\]}>] ?| ?[(\[{<] ?(?:at|AT|шнік|собак
 _DOT = r"(?:\.| ?[(\[{] ?(?:dot|DOT|точка|կետ) ?[)\]}] ?)"
 MAIL = rf"[A-Za-z0-9][\w.+\-]*{_AT}[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)+|[A-Za-z0-9][\w.+\-]*(?:{_AT}| (?:at|AT) (?!(?:the|an?|this|that|every|each|one|your|my|our|his|her|its|their) ))[A-Za-z0-9\-]+(?: (?:dot|DOT|точка|կետ) [A-Za-z0-9\-]+)+"
 WEB = r"(?:https?://|www\.)\S+"
-PHONE_FORM = r"(?:\+ ?\d{1,3}(?:[ \-]?\(?\d{2,4}\)?)(?:[ .\-]?\d{2,6}){1,4}|00\d{3}[\- ]\d{2}[\- ]\d{6}|0\d{8}|0\d{2}[ /]\d{2,3}[\- ]\d{2,3}(?:[\- ]\d{2})?|0\d{2}-\d{2,3}-\d{2}-\d{2}|0\d{2}-\d{3}-\d{3}|\(0\d{2}\) ?\d{2} \d{2} \d{2}|\(0\d{2}\) ?\d{3}[ \-]\d{3}|\d{3}-\d{4}|1-\d{3}-\d{3}-\d{4}|8 ?\(\d{3}\) ?\d{3}-\d{2}-\d{2}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\-/.]?\d)"
+#: Numbers that can be one to call: by a country's code, in groups after a 0 with one kind of mark between, and other usual groupings.
+PHONE_FORM = (
+    r"(?:\+ ?\d{1,3}(?:[ .\-]?\(?\d{1,4}\)?){2,6}(?<=[\d)])|" + "|".join(rf"(?=(?:\D?\d){{9}})0\d{{1,3}}(?:{mark}\d{{2,4}}){{2,4}}" for mark in (" ", r"\.", "-"))
+    + r"|\(0\d{1,4}\)[ \-]?\d{2,4}(?:[ .\-]\d{2,4}){1,3}|8[ \-]?9\d{2}[ \-]\d{3}[ \-]\d{2}[ \-]\d{2}|\+ ?\d{1,3}(?:[ \-]?\(?\d{2,4}\)?)(?:[ .\-]?\d{2,6}){1,4}|00\d{3}[\- ]\d{2}[\- ]\d{6}|0\d{8}|0\d{2}[ /]\d{2,3}[\- ]\d{2,3}(?:[\- ]\d{2})?|0\d{2}-\d{2,3}-\d{2}-\d{2}|0\d{2}-\d{3}-\d{3}|\(0\d{2}\) ?\d{2} \d{2} \d{2}|\(0\d{2}\) ?\d{3}[ \-]\d{3}|\d{3}-\d{4}|1-\d{3}-\d{3}-\d{4}|8 ?\(\d{3}\) ?\d{3}-\d{2}-\d{2}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\-/.]?\d)"
+)
 SOCIAL_FORM = r"(?:\d{10}|\d{5}-\d{5}|\d{4} \d{3} \d{3})(?![\-/.]?\d)"
 NUMBER = rf"(?<!\d){PHONE_FORM}|(?<!\d){SOCIAL_FORM}|\d+(?:[./:\-]\d+)*"
 TOKEN = re.compile(rf"\n|{WEB}|{MAIL}|{NUMBER}|[^\W\d_]+|\S")
 IS_MAIL, IS_WEB = re.compile(MAIL), re.compile(WEB)
-STREET = frozenset("փող փողոց փողոցի փ պողոտա պող պողոտայի նրբանցք նրբ նրբանցքի խճուղի խճուղու փակուղի հրապարակ street st road rd lane avenue ave drive dr alley square boulevard blvd court ул улица улице пр проспект переулок пер шоссе бульвар набережная площадь rue straße strasse փողոցում".split())
+STREET = frozenset("փող փողոց փողոցի փ պողոտա պող պողոտայի նրբանցք նրբ նրբանցքի խճուղի խճուղու փակուղի հրապարակ place quai chemin impasse allée street st road rd lane avenue ave drive dr alley square boulevard blvd court ул улица улице пр проспект переулок пер шоссе бульвар набережная площадь rue straße strasse փողոցում".split())
+#: Words that name a street only beside other capital words, and the endings of German street names.
+STREET_CAPITAL = frozenset("crescent way terrace close gardens row circle parkway highway trail quay mews grove hill walk".split())
+STREET_ENDING = re.compile(r".{3,}(?:straße|strasse|gasse|weg|allee|platz|damm|ufer)$")
 HOUSE = frozenset("շենք տուն տանը թիվ բն բնակարան д дом кв квартира корпус apt flat suite house".split())
 DOCUMENT = frozenset("անձնագիր անձնագրի passport паспорт паспорта հծհ համարանիշ համարանիշը սոցքարտ սոցիալական նույնականացման քարտ id соцкарты соц ssn social identity card карта համարը card номер".split())
 CALLS = frozenset("հեռ հեռախոս հեռախոսահամար զանգահարեք զանգել զանգահարել телефон тел позвоните call phone tel text at mobile ext".split())
-PERSON = frozenset("պարոն տիկին օրիորդ ընթերցող գնորդ հեղինակ հեղինակը պահակը ստորագրություն քաղաքացի mr mrs ms applicant tenant author for зовут спросить заявитель господин госпожа տրված".split())
+PERSON = frozenset("պարոն տիկին օրիորդ ընթերցող գնորդ հեղինակ հեղինակը պահակը ստորագրություն քաղաքացի mr mrs ms applicant tenant author for зовут спросить заявитель господин госпожа տրված contact director manager teacher guide winner singer doctor professor neighbour manager директор учитель врач автор наш տնօրեն տնօրենը ուսուցիչ ուսուցիչը բժիշկ բժիշկը დირექტორი დირექტორმა მასწავლებელი ექიმი".split())
+#: What people do, of which the one who does it stands before or behind.
+ACTS = frozenset("sent wrote said says told lives lived works worked signed sold bought opened showed asked answered came met won sang teaches пришёл пришла сказал сказала написал написала рассказал рассказала отправил отправила подписал подписала подготовил подготовила беседовал беседовала говорил говорила ասաց ասել պատմեց պատմել գրեց եկավ երգեց հանդես խոսեց դիմել դիմեց ապրում աշխատում წერდა დაწერა მოვიდა მუშაობს თქვა გახსნა ლაპარაკობს".split())
 LITTLE = frozenset("the a an in on at of and to is was i if by for with as it not after before since every our one this yesterday early last about near le la les un une der die das ein im в на и по с около вчера после до этот наш старый новый и է և որ եթե ըստ այդ պետք ո ոչ երեկ այսօր".split())
-SURNAME = re.compile(r"(?:[ա-ֆև]{3,}(?:յան|եան|յանց|ունի)(?:ի|ին|ը|ն|ից|ով|ների|ները)?|[a-z]{3,}(?:yan|ian|yants)(?:i|in|y)?|[а-яё]{3,}(?:ов|ова|ев|ева|ёв|ин|ина|ын|енко|ук|юк|чук|ский|ская|ян|янц|ич)(?:а|у|ым|ой)?)$")
+SURNAME = re.compile(r"(?:[ա-ֆև]{3,}(?:յան|եան|յանց|ունի)(?:ի|ին|ը|ն|ից|ով|ների|ները)?|[a-z]{3,}(?:yan|ian|yants)(?:i|in|y)?|[а-яё]{3,}(?:ов|ова|ев|ева|ёв|ин|ина|ын|енко|ук|юк|чук|ский|ская|ян|янц|ич)(?:а|у|ым|ой)?|[ა-ჰ]{2,}(?:ძე|შვილი|იანი|ელი|ავა|ური)(?:მ|ს|ის)?)$")
 NOT_SURNAME = re.compile(r"(?:միջնադ|վայրկ|կայան|արձան|գարնան|աշնան|ձմեռ|ամառ|շատ)")
-#: Abstract nouns, times of day and place names that end like a surname; beside no known given name they are none.
-ABSTRACT = re.compile(r"ությ?[եա]ն|(?:առավոտ|երեկո|ցերեկ|գիշեր|կեսօր|օր|ամ|դար)յան|ունի")
+#: Abstract nouns, times of day and place names that end like a surname are none.
+ABSTRACT = re.compile(r"ությ?[եա]ն|^(?:առավոտ|երեկո|ցերեկ|գիշեր|կեսօր|օր|ամ|դար)յան|ունի")
 PHONE, SOCIAL = re.compile(PHONE_FORM), re.compile(SOCIAL_FORM)
 
 
@@ -86,15 +95,17 @@ def features(token: str) -> list[str]:
     if not token[0].isalpha():
         return ["mark", f"mark={token}"]
     low = token.lower()
-    case = "upper" if token.isupper() and len(token) > 1 else "capital" if token[0].isupper() else "small"
+    case = "caseless" if low == token.upper() else "upper" if token.isupper() and len(token) > 1 else "capital" if token[0].isupper() else "small"
     script = "arm" if "ա" <= low[0] <= "և" else "cyr" if "а" <= low[0] <= "ё" else "lat" if low[0].isascii() else "other"
     out = ["word", case, script, f"{case}-{script}"]
-    for name, words in (("street", STREET), ("house", HOUSE), ("document", DOCUMENT), ("calls", CALLS), ("person", PERSON), ("little", LITTLE)):
+    for name, words in (("street", STREET), ("house", HOUSE), ("document", DOCUMENT), ("calls", CALLS), ("person", PERSON), ("little", LITTLE), ("acts", ACTS)):
         if low in words:
             out.append(name)
+    if case in ("capital", "upper") and low in STREET_CAPITAL or STREET_ENDING.match(low):
+        out.append("street")
     if low in given_names():
         out += ["given", f"given-{case}"]
-    if SURNAME.match(low) and not NOT_SURNAME.match(low):
+    if SURNAME.match(low) and not NOT_SURNAME.match(low) and not ABSTRACT.search(low):
         out += ["surname", f"surname-{case}"]
     if len(token) == 1 and case != "small":
         out.append("initial")
@@ -264,34 +275,24 @@ class Tagger:
                 state[active] = came[t, active, state[active]]
 
 
-def announced(before: list[str]) -> bool:
-    """Whether the tokens before a span announce a person."""
-    words = [t.lower() for t in before[-2:]]
-    return bool(words) and (words[-1] in PERSON or words[-2:] in (["i", "am"], ["name", "is"]) or words[-1] in ".:՝" and len(words) == 2 and words[0] in PERSON)
-
-
-def accepted(kind: str, tokens: list[str], before: list[str] | None = None) -> bool:
-    """Whether a span that the field found, after the tokens `before`, really is an item of its kind."""
+def accepted(kind: str, tokens: list[str]) -> bool:
+    """Whether a span that the field found has the form of its kind; whether it is one, the field has decided."""
+    kinds = [features(t) for t in tokens]
     if kind == "email":
         return any(IS_MAIL.fullmatch(t) for t in tokens)
     if kind == "phone":
-        return any("phone" in features(t) for t in tokens)
+        return any("phone" in f for f in kinds)
     if kind == "identity":
-        kinds = [features(t) for t in tokens]
         return any("social" in f or "card" in f for f in kinds) or any("seven" in f for f in kinds) and any("series" in f for f in kinds)
     if kind == "address":
-        kinds = [features(t) for t in tokens]
         return any("street" in f for f in kinds) and any("house number" in f for f in kinds)
-    words = [t for t in tokens if t[0].isalpha()]
-    kinds = [features(t) for t in words]
-    if len(words) < 2 or any("small" in f and "given" not in f and "surname" not in f for f in kinds):
-        return False
-    long = [f for t, f in zip(words, kinds) if len(t) > 2]
-    if bool(long) and (any("initial" in f for f in kinds) or any("given" in f for f in kinds) and len(long) > 1):
-        return True
-    if len(long) < 2 or any("small" in f for f in kinds):
+    words = [(t, f) for t, f in zip(tokens, kinds) if t[0].isalpha()]
+    # words without capitals are names only if a list or a shape says so
+    if len(words) < 2 or any("small" in f and "given" not in f and "surname" not in f for _, f in words) or not any(len(t) > 2 for t, _ in words):
         return False
-    return any("surname" in f and not ABSTRACT.search(t.lower()) for t, f in zip(words, kinds)) or announced(before or [])
+    plain = any("small" in f for _, f in words)
+    caseless = any("caseless" in f for _, f in words)
+    return not plain and not caseless or any("given" in f for _, f in words) or caseless and any("surname" in f for _, f in words)
 
 
 def spans(tokens: list[str], states: np.ndarray) -> Iterator[tuple[int, int, str]]:
@@ -303,7 +304,7 @@ def spans(tokens: list[str], states: np.ndarray) -> Iterator[tuple[int, int, str
         while j + 1 < len(at) and at[j + 1] == at[j] + 1 and states[at[j + 1]] == states[at[i]] and tokens[at[j + 1]] != "\n":
             j += 1
         first, last, kind = int(at[i]), int(at[j]) + 1, STATES[states[at[i]]]
-        if accepted(kind, tokens[first:last], tokens[max(0, first - 2) : first]):
+        if accepted(kind, tokens[first:last]):
             yield first, last, kind
         i = j + 1
 
@@ -360,17 +361,29 @@ def personal_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return narrow.mapInArrow(run, "k long, line_no int, kind string").withColumnRenamed("k", key)
 
 
-def redact(text: str, tagger: Tagger) -> str:
-    """The text with [KIND] in place of each item."""
-    found = [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text)]
-    tokens = [t for _, _, t in found]
-    if not tokens:
-        return text
-    out, at = [], 0
+def redact(texts: list[str | None], tagger: Tagger) -> list[str | None]:
+    """The texts with [KIND] in place of each item; all are tagged as one stream."""
+    places: list[tuple[int, int]] = []
+    tokens: list[str] = []
+    begins = [0]
+    for t in texts:
+        for m in TOKEN.finditer(t or ""):
+            places.append(m.span())
+            tokens.append(m[0])
+        places.append((0, 0))
+        tokens.append("\n")
+        begins.append(len(tokens))
+    found: dict[int, list[tuple[int, int, str]]] = {}
     for first, last, kind in spans(tokens, tagger.states(tokens)):
-        out += [text[at : found[first][0]], f"[{kind.upper()}]"]
-        at = found[last - 1][1]
-    return "".join(out) + text[at:]
+        found.setdefault(bisect_right(begins, first) - 1, []).append((places[first][0], places[last - 1][1], kind))
+    out = list(texts)
+    for i, items in found.items():
+        parts, at = [], 0
+        for begin, end, kind in items:
+            parts += [texts[i][at:begin], f"[{kind.upper()}]"]
+            at = end
+        out[i] = "".join(parts) + texts[i][at:]
+    return out
 
 
 def redacted(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -379,9 +392,9 @@ def redacted(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = _tagger(shared.value)
-        for batch in batches:
-            new = [redact(t, tagger) if t else t for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(new, pa.string())], ["k", "t"])
+        for whole in batches:
+            for batch in slices(whole, "t"):
+                yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(redact(batch.column("t").to_pylist(), tagger), pa.string())], ["k", "t"])
 
     narrow = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
     return narrow.mapInArrow(run, narrow.schema).select(F.col("k").alias(key), F.col("t").alias(text))
