@@ -2,9 +2,11 @@
 
 One pass over the texts finds tokens that hold a style variant, an invisible character, a split
 accent or letters of two alphabets, and the distinct clean words beside them. Both are brought
-together by their skeleton (what they look like); there, a trie of the clean words is walked with a
-weighted edit automaton in which look-alikes and ignorables cost nothing, and the cheapest, most
-frequent word becomes the canonical spelling. Tokens that no word matches are normalised by table.
+together by a coarse key of what they look like (number of letters, the first two and the last);
+there, a trie of the clean words is walked with a weighted edit automaton in which look-alikes and
+ignorables cost nothing and an unlisted letter of another alphabet inside a word half an edit, and the
+cheapest, most frequent word within half an edit becomes the canonical spelling. Tokens that no word
+matches are normalised by table.
 
 Defined results: null texts have no tokens and stay null; joiners between Persian letters and inside
 emoji, differing punctuation marks and whole words of another alphabet stay as they are; a word of
@@ -32,6 +34,12 @@ a а α . | c с ϲ . | e е . . | o о ο օ | p р ρ . | x х χ . | y у γ
 A А Α . | B В Β . | C С Ϲ . | E Е Ε . | H Н Η . | I І Ι . | J Ј . . | K К Κ . | M М Μ . | O О Ο Օ | P Р Ρ . | S Ѕ . Տ | T Т Τ . | X Х Χ . | Y У Υ . | N . Ν . | Z . Ζ . | U . . Ս | L . . Լ
 k к κ . | m м . . | t т τ . | b ь . . | r г . . | v ѵ ν . | w ԝ ω . | d ԁ . . | l ӏ . ւ | f . . ֆ | z . . . | ï ї ϊ . | ë ё . . | ó . ό . | d . . ժ | p . . ք | m . . տ | w . . ա | n . . ռ | h . . ի | t . . ե | r . . ր | g . . գ | q . . գ | y . . վ | i . . ի | S . . Տ | Q . . Զ | . З . Յ | o . . ծ | ƒ . . ֆ | D . . Դ | b . . Ե | U Ц . Ս | P . . Ք
 """
+#: Letters that the corpus's languages write with.
+ORDINARY = {
+    "LATIN": "abcdefghijklmnopqrstuvwxyzàâæçéèêëîïôœùûüÿäöß",
+    "CYRILLIC": "абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ",
+    "ARMENIAN": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆև",
+}
 COLUMNS = ("LATIN", "CYRILLIC", "GREEK", "ARMENIAN")
 SCRIPTS = ("", *COLUMNS, "ARABIC", "GEORGIAN", "HEBREW", "other")
 PERSIAN_JOINER, JOINER, SELECTOR = "‌", "‍", "️"
@@ -71,7 +79,7 @@ def script_of(c: str) -> str:
 def is_style(c: str) -> bool:
     """A letter or digit that only differs in width or style, or joins several, from the usual ones."""
     point = ord(c)
-    return 0xFF10 <= point <= 0xFF5A or 0x1D400 <= point <= 0x1D7FF or 0xFB00 <= point <= 0xFB17 or 0xFB50 <= point <= 0xFDFB or 0xFE70 <= point <= 0xFEFC or 0x2100 <= point <= 0x214F and unicodedata.category(c) in ("Lu", "Ll") or 0x24B6 <= point <= 0x24E9
+    return 0xFF10 <= point <= 0xFF5A or 0x1D400 <= point <= 0x1D7FF or 0xFB00 <= point <= 0xFB17 or 0xFB50 <= point <= 0xFDFB or 0xFE70 <= point <= 0xFEFC or 0x2100 <= point <= 0x214F and unicodedata.category(c) in ("Lu", "Ll") or 0x24B6 <= point <= 0x24E9 or 0x1F130 <= point <= 0x1F149 or 0xFF66 <= point <= 0xFFDC
 
 
 OK, STYLE, SPACE, HIDDEN, ACCENT = range(5)
@@ -91,18 +99,19 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             odd[point] = SPACE
         elif cat == "Mn" and 0x300 <= point <= 0x36F or point in (0x653, 0x654, 0x655):
             odd[point] = ACCENT
-        elif cat[0] == "L" or cat == "Nd":
+        elif cat[0] == "L" or cat == "Nd" or cat == "So" and is_style(c):
             sort[point] = DIGIT if cat == "Nd" else LETTER
             if is_style(c) and unicodedata.normalize("NFKC", c) != c:
                 odd[point] = STYLE
-            if cat[0] == "L":
+            if cat[0] == "L" or cat == "So":
                 script[point] = SCRIPTS.index(script_of(c))
     return odd, sort, script
 
 
 _IGNORED = r"\p{Cf}\u034F\u115F\u1160\u3164\uFFA0\uFE00-\uFE0F"
 #: A word or number with what clings to it; joiners and selectors that an emoji before them needs stay out.
-TOKEN = regex.compile(rf"(?:(?<![\p{{So}}\p{{Sk}}])[{_IGNORED}])*[\p{{L}}\p{{Nd}}][\p{{L}}\p{{Nd}}\p{{M}}{_IGNORED}]*")
+_BOXED = "\u24B6-\u24E9\U0001F130-\U0001F149"
+TOKEN = regex.compile(rf"(?:(?<![\p{{So}}\p{{Sk}}])[{_IGNORED}])*[\p{{L}}\p{{Nd}}{_BOXED}][\p{{L}}\p{{Nd}}\p{{M}}{_IGNORED}{_BOXED}]*")
 ODD_SPACE = regex.compile(r"[\p{Zs}\p{Zl}\p{Zp}--[ ]]", regex.V1)
 ARABIC = regex.compile(r"\p{Arabic}")
 
@@ -130,9 +139,11 @@ def by_table(token: str) -> str:
         count[s] = count.get(s, 0) + 1
     if len(count) < 2:
         return plain
-    for main in sorted(count, key=lambda s: (-count[s], s == "LATIN", s)):
+    # first an alphabet in which all are ordinary letters of the corpus's languages, then the one of most letters
+    turned = {s: [c if own == s else looks().get(s, {}).get(c) for c, own in letters] for s in count}
+    for main in sorted(count, key=lambda s: (not all(c and c.lower() in ORDINARY.get(s, "") for c in turned[s]), -count[s], s == "LATIN", s)):
         turn = looks().get(main, {})
-        if all(s == main or c in turn for c, s in letters):
+        if None not in turned[main]:
             return "".join(c if not c.isalpha() or script_of(c) == main else turn[c] for c in plain)
     return plain
 
@@ -148,8 +159,24 @@ def is_odd(token: str) -> bool:
     return visible_form(token) != token or len({script_of(c) for c in token if c.isalpha()}) > 1
 
 
+#: What an edit costs: a letter for one of the same look, and what nobody sees, nothing; inside a word a letter of
+#: another alphabet without a listed look, half; anything else, one. A word within `ACCEPTED` is taken.
+FOREIGN, OTHER, ACCEPTED = 0.5, 1.0, 0.5
+
+
+@lru_cache(maxsize=1 << 16)
+def _parts(c: str) -> str:
+    """The usual letters and accents that a character shows."""
+    return unicodedata.normalize("NFD", unicodedata.normalize("NFKC", c) if is_style(c) else c)
+
+
+@lru_cache(maxsize=1 << 16)
+def _script(c: str) -> str:
+    return script_of(c) if c.isalpha() else ""
+
+
 class Trie:
-    """Words with counts, walked by an automaton in which look-alikes and ignorables cost nothing."""
+    """Words with counts, walked by a weighted edit automaton; letters and their accents are steps of their own."""
 
     def __init__(self) -> None:
         self.children: list[dict[str, int]] = [{}]
@@ -157,7 +184,7 @@ class Trie:
 
     def add(self, word: str, count: int) -> None:
         node = 0
-        for c in word:
+        for c in unicodedata.normalize("NFD", word):
             if c not in self.children[node]:
                 self.children[node][c] = len(self.children)
                 self.children.append({})
@@ -165,33 +192,36 @@ class Trie:
             node = self.children[node][c]
         self.word[node] = (count, word)
 
-    def cheapest(self, token: str, most: int = 0) -> tuple[int, str] | None:
-        """(cost, word) of the cheapest word within `most` edits; of equal ones the most frequent, then the smallest.
-
-        A letter of the same look costs 0, any other substitution, insertion or deletion 1.
-        """
+    def cheapest(self, token: str, most: float = ACCEPTED) -> tuple[float, str] | None:
+        """(cost, word) of the cheapest word within `most`; of equal ones the most frequent, then the smallest."""
         turn = look_class()
-        token = visible_form(token)
 
-        def inserted(states: dict[int, int]) -> dict[int, int]:
-            stack = list(states)
+        def inserted(states: dict[int, float]) -> dict[int, float]:
+            stack = list(states) if most >= OTHER else []
             while stack:
                 node = stack.pop()
-                if (cost := states[node] + 1) <= most:
+                if (cost := states[node] + OTHER) <= most:
                     for child in self.children[node].values():
                         if cost < states.get(child, most + 1):
                             states[child] = cost
                             stack.append(child)
             return states
 
-        states = inserted({0: 0})
-        for c in token:
-            after: dict[int, int] = {}
+        states: dict[int, float] = inserted({0: 0.0})
+        steps = [p for c in token for p in _parts(c)]
+        for i, c in enumerate(steps):
+            if _hidden(c):
+                continue  # costs nothing and leads nowhere
+            look, script, inside = turn.get(c, c), _script(c), 0 < i < len(steps) - 1
+            after: dict[int, float] = {}
             for node, cost in states.items():
-                if cost + 1 <= most:
-                    after[node] = min(after.get(node, most + 1), cost + 1)
+                if cost + OTHER <= most:
+                    after[node] = min(after.get(node, most + 1), cost + OTHER)
                 for d, child in self.children[node].items():
-                    new = cost + (0 if d == c or turn.get(d, d) == turn.get(c, c) else 1)
+                    if d == c or turn.get(d, d) == look:
+                        new = cost
+                    else:
+                        new = cost + (FOREIGN if inside and script and (other := _script(d)) and other != script else OTHER)
                     if new <= most and new < after.get(child, most + 1):
                         after[child] = new
             states = inserted(after)
@@ -201,6 +231,15 @@ class Trie:
         return (min(found)[0], min(found)[2]) if found else None
 
 
+def _hidden(c: str) -> bool:
+    return c != PERSIAN_JOINER and ((p := ord(c)) >= 0xE0000 or p < 0x20000 and tables()[0][p] == HIDDEN)
+
+
+def meeting(look: str) -> str:
+    """Where a token meets the words that it may be: by number of letters, the first two and the last."""
+    return f"{len(look)}{look[:2]}{look[-1:]}"
+
+
 def _observe(texts: pa.Array, ids: list, skip: np.ndarray) -> tuple[list[tuple[int, str]], list[tuple[str, int]]]:
     """((id, odd token) ..., (clean word, count) ...) of a batch; rows in `skip` give no odd tokens."""
     odd, sort, script = tables()
@@ -235,7 +274,10 @@ def _observe(texts: pa.Array, ids: list, skip: np.ndarray) -> tuple[list[tuple[i
 
 
 def observations(df: DataFrame, tab: str, key: str, text: str, skip_junk: bool) -> DataFrame:
-    """(tab, row_id, token, look, n): odd tokens with their row, clean words with a null row and their count in a batch."""
+    """(tab, row_id, token, look, n, canonical): odd tokens with their row, clean words with a null row and their count in a batch.
+
+    canonical is filled where no word is needed to tell it: for odd spaces. look is where a token meets words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -244,23 +286,25 @@ def observations(df: DataFrame, tab: str, key: str, text: str, skip_junk: bool)
                 found, words = _observe(batch.column("t"), batch.column("k").to_pylist(), kinds == "junk")
                 tokens = [t for _, t in found] + [w for w, _ in words]
                 columns = [pa.array([k for k, _ in found] + [None] * len(words), pa.int64()), pa.array(tokens, pa.string()), pa.array([skeleton_of(t) for t in tokens], pa.string())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([1] * len(found) + [n for _, n in words], pa.int64())], ["row_id", "token", "look", "n"])
+                # what kind of space it is needs no word
+                plain = pa.array([" " if ODD_SPACE.fullmatch(t) else None for t, _ in zip((t for _, t in found), found)] + [None] * len(words), pa.string())
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([1] * len(found) + [n for _, n in words], pa.int64()), plain], ["row_id", "token", "look", "n", "canonical"])
 
     narrow = df.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    return narrow.mapInArrow(run, "row_id long, token string, look string, n long").withColumn("tab", F.lit(tab))
+    return narrow.mapInArrow(run, "row_id long, token string, look string, n long, canonical string").withColumn("tab", F.lit(tab))
 
 
 @lru_cache(maxsize=1 << 17)
 def skeleton_of(token: str) -> str:
-    return skeleton(token)
+    return meeting(skeleton(token))
 
 
 def spellings(seen: DataFrame) -> DataFrame:
-    """(token, canonical) of each distinct odd token among `seen`.
+    """(token, canonical) of each distinct odd token among `seen` that isn't told yet.
 
-    Words and tokens of one look meet in one partition, after equal ones have been counted together.
+    Words and tokens that may be the same meet in one partition, after equal ones have been counted together.
     """
-    counts = seen.groupBy("look", "token", F.col("row_id").isNull().alias("clean")).agg(F.sum("n").alias("n"))
+    counts = seen.filter("canonical is null").groupBy("look", "token", F.col("row_id").isNull().alias("clean")).agg(F.sum("n").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, trie, words, tokens = None, None, [], []
@@ -271,7 +315,7 @@ def spellings(seen: DataFrame) -> DataFrame:
             trie = Trie()
             for w, n in words:
                 trie.add(w, n)
-            return [(t, (trie.cheapest(t) or (0, by_table(t)))[1] if not ODD_SPACE.fullmatch(t) else " ") for t in tokens]
+            return [(t, (trie.cheapest(t) or (0, by_table(t)))[1]) for t in tokens]
 
         for batch in batches:
             out: list[tuple[str, str]] = []
@@ -291,15 +335,16 @@ def spellings(seen: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, "token string, canonical string")
 
 
-#: Over how many salts the rows of one token are spread where tokens meet their rows.
-SALTS = 16
-
-
 def altered_tokens(seen: DataFrame) -> DataFrame:
-    """(tab, row_id, token, canonical) of every odd token whose canonical spelling differs."""
-    changed = spellings(seen).filter("token <> canonical").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = seen.filter("row_id is not null").withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int"))
-    return rows.join(changed, ["token", "salt"]).select("tab", "row_id", "token", "canonical")
+    """(tab, row_id, token, canonical) of every odd token whose canonical spelling differs.
+
+    Each token stands once on one side of the join, so a token that very many rows hold is split by
+    the adaptive execution (or the other side is small, and broadcast); odd spaces, the commonest, aren't joined.
+    """
+    changed = spellings(seen).filter("token <> canonical")
+    rows = seen.filter("row_id is not null")
+    asked = rows.filter("canonical is null").drop("canonical").join(changed, "token")
+    return asked.select("tab", "row_id", "token", "canonical").unionByName(rows.filter("canonical is not null").select("tab", "row_id", "token", "canonical"))
 
 
 def _rewrite(text: str, turn: dict[str, str]) -> str:

@@ -95,6 +95,16 @@ def test_trie_walk():
     assert trie.cheapest("u​ուր") == (0, "սուր") and trie.cheapest("սուր") == (0, "սուր")
     assert trie.cheapest("сур") is None and trie.cheapest("սուրը", 1) == (1, "սուր")
     assert trie.cheapest("tоt") == (0, "тот")
+    # an unlisted letter of another alphabet costs half inside a word, and a whole edit at its ends
+    assert trie.cheapest("сոր") is None and trie.cheapest("սдր") == (0.5, "սոր") and trie.cheapest("սոд") is None
+    for word in ("café", "йод"):
+        trie.add(word, 1)
+    assert trie.cheapest("cafe\u0301") == (0, "café") and trie.cheapest("cafe") is None and trie.cheapest("\uff43afe\u200b\u0301") == (0, "café") and trie.cheapest("и\u0306oд") == (0, "йод")
+
+
+def test_a_spoofed_word_and_its_plain_form_come_together():
+    assert lookalikes.by_table("раураl") == "paypal" == lookalikes.by_table("pаypal")
+    assert lookalikes.by_table("Ⓗello") == "Hello" and lookalikes.by_table("стoл") == "стол"
 
 
 def test_altered_rows(spark):
