@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from kaghamar.session import cut_lineage
 
 CAPACITY = 2048
-#: Buckets by key hash within one length, so that no task ranks all items of a frequent length.
-BUCKETS = 64
+#: Items of one length that one task ranks; a more frequent length is cut into buckets by key hash.
+BUCKET_ROWS = 100_000
 
 
 def combinations(counts: np.ndarray, capacity: int, slack: int, per_length: int) -> np.ndarray:
@@ -133,11 +133,11 @@ def slots(blocks: list[tuple[list[int], int]]) -> list[tuple[int, int, int, int,
     return out
 
 
-def fill_blocks(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: int = CAPACITY, buckets: int = BUCKETS) -> DataFrame:
+def fill_blocks(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(key, piece, n_tokens, block_id, block_offset): where each item, or each piece of it, lies.
 
     piece counts from 0 in an item larger than a block. The rows' ranks within a length come from a
-    window per (length, hash bucket) plus the buckets' running counts; `sizes` is cut off from its
+    window per (length, hash bucket) plus the buckets' running counts, with as many buckets as a length's rows need; `sizes` is cut off from its
     lineage once, as both the histogram and the assignment read it.
     """
     spark = sizes.sparkSession
@@ -151,11 +151,13 @@ def fill_blocks(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", c
             )
         ).alias("piece", "len"),
     )
-    pieces = cut_lineage(pieces.withColumn("bucket", F.pmod(F.xxhash64("k", "piece"), F.lit(buckets)).cast("int")))
-    per_bucket = cut_lineage(pieces.groupBy("len", "bucket").agg(F.count("*").alias("c")))
+    pieces = cut_lineage(pieces)
     counts = np.zeros(capacity + 1, np.int64)
-    for row in per_bucket.groupBy("len").agg(F.sum("c").alias("c")).collect():  # at most `capacity` rows
+    for row in pieces.groupBy("len").agg(F.count("*").alias("c")).collect():  # at most `capacity` rows
         counts[row["len"]] = row["c"]
+    share = spark.createDataFrame([(int(v), int(-(-counts[v] // bucket_rows))) for v in np.flatnonzero(counts)] or [(0, 1)], "len int, buckets int")
+    pieces = pieces.join(F.broadcast(share), "len").withColumn("bucket", F.pmod(F.xxhash64("k", "piece"), F.col("buckets")).cast("int"))
+    per_bucket = pieces.groupBy("len", "bucket").agg(F.count("*").alias("c"))
     table = slots(plan(counts, capacity)) or [(0, 0, 0, 0, 1, 0)]
     where = spark.createDataFrame(table, "len int, lo long, hi long, block long, times int, offset int")
     start = per_bucket.withColumn("start", F.sum("c").over(Window.partitionBy("len").orderBy("bucket")) - F.col("c")).drop("c")

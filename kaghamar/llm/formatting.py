@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kaghamar.functions.codepoints import flatten, slices
-from kaghamar.session import cut_lineage
+from kaghamar.session import cut_lineage, small
 
 #: Odd multipliers of the two polynomials, and what letters are turned into before they enter one.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -315,15 +315,18 @@ def _verified(pairs: DataFrame, as_json: bool) -> DataFrame:
 def formatting_copies(df: DataFrame, key: str, text: str, as_json: bool = False, salt_rows: int = SALT_ROWS) -> DataFrame:
     """(first_id, copy_id): each copy and the smallest id of its record.
 
-    Hashes are grouped before any text moves; only texts of colliding rows are shuffled. The first
-    text of a group is repeated once per `salt_rows` rows, over which its copies are spread.
+    Hashes are grouped before any text moves; only texts of colliding rows are shuffled. A group and
+    its first text are repeated once per `salt_rows` rows, over which its copies are spread.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t")).filter("id is not null and t is not null")
     hashes = cut_lineage(_hashes(rows, as_json))  # 24 bytes a row, read twice; each text is hashed once
     groups = hashes.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("n")).filter("n > 1")
-    groups = groups.withColumn("salts", (F.lit(1) + F.col("n") / salt_rows).cast("int"))
-    salt = lambda: F.pmod(F.xxhash64("id"), F.col("salts")).cast("int")
-    members = hashes.join(groups, ["h1", "h2"]).filter("id <> first_id").select("first_id", F.col("id").alias("copy_id"), "salts", salt().alias("salt"))
+    groups = cut_lineage(groups.select("h1", "h2", "first_id", (F.lit(1) + F.col("n") / salt_rows).cast("int").alias("salts")))
+    # a row learns the salts of its group, if it is a large one, before rows and groups are brought together
+    large = small(groups.filter("salts > 1").select("h1", "h2", F.col("salts").alias("of")))
+    salted = hashes.join(large, ["h1", "h2"], "left").withColumn("salt", F.pmod(F.xxhash64("id"), F.coalesce("of", F.lit(1))).cast("int"))
+    every = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    members = salted.join(every, ["h1", "h2", "salt"]).filter("id <> first_id").select("first_id", F.col("id").alias("copy_id"), "salt")
     copies = members.join(rows.select(F.col("id").alias("copy_id"), F.col("t").alias("b")), "copy_id")
     firsts = groups.select("first_id", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     firsts = firsts.join(rows.select(F.col("id").alias("first_id"), F.col("t").alias("a")), "first_id")

@@ -123,7 +123,7 @@ def test_blocks_hold_every_token_once(spark):
     r = random.Random(5)
     sizes = [r.choice([0, None, 7, 7, 7, r.randint(1, 300), 64, 128]) for _ in range(900)]
     df = spark.createDataFrame([(i, n, "x", 1, 2, 3) for i, n in enumerate(sizes)], "doc_id int, n_tokens long, k string, n int, len int, bucket int")
-    rows = blocks.fill_blocks(df, capacity=64, buckets=5).collect()
+    rows = blocks.fill_blocks(df, capacity=64, bucket_rows=20).collect()
     pieces, places = {}, {}
     for x in rows:
         pieces.setdefault(x["doc_id"], []).append((x["piece"], x["n_tokens"]))
