@@ -28,9 +28,10 @@ NO_VALUE = {"null", "none", "nan", "na", "nil", "undefined", "nulltext", "empty"
 REFUSALS = """
 չեմ կարող պատասխանել; չեմ կարող կատարել; չեմ կարող օգնել; տեղեկություն տալ չեմ կարող; չեմ կարող տրամադրել; չեմ կարող տեղեկություն; չեմ կարող քննարկել; չեմ կարող գրել; չեմ կարող ասել;
 իրավունք չունեմ օգնելու; իրավունք չունեմ; ստիպված եմ հրաժարվել; ստիպված եմ մերժել; հրաժարվում եմ պատասխանել; հնարավորություններից դուրս է; պատասխանել չեմ կարող; չեմ կարողանա; ի վիճակի չեմ; լեզվական մոդել բայց;
-не могу ответить; не могу помочь; не вправе; помочь с этим запросом не получится; не получится помочь; вынужден отказать; вынуждена отказать; не могу обсуждать; не могу предоставить; не могу выполнить; отказываюсь отвечать;
-i cannot help; i cant help; i can not help; cannot help with; i cannot answer; i cant answer; i am not able to; im not able to; i am unable to; im unable to; i must decline; decline to discuss; against my guidelines; i cannot provide; i cant provide; i cannot assist; i cant assist; i wont be able to; i refuse to;
-je ne peux pas répondre; je ne suis pas en mesure; je refuse de; ich kann nicht antworten; ich kann dabei nicht helfen; ich muss ablehnen; не можу відповісти; не можу допомогти
+չեմ ցանկանում խոսել; չեմ ցանկանում պատասխանել; չեմ ուզում պատասխանել; չեմ պատասխանի այդ; չեմ պատասխանի այս; չեմ պատասխանելու; նախընտրում եմ չպատասխանել; նախընտրում եմ չխոսել; կխուսափեմ պատասխանել; կխուսափեմ պատասխանելուց; մերժում եմ; չեմ կարող աջակցել; չեմ կարող մասնակցել; չեմ կարող բավարարել; չեմ կարող կիսվել;
+не могу ответить; не могу помочь; не вправе; помочь с этим запросом не получится; не получится помочь; вынужден отказать; вынуждена отказать; не могу обсуждать; не могу предоставить; не могу выполнить; отказываюсь отвечать; не буду отвечать; не стану отвечать; не хочу отвечать; предпочитаю не отвечать; не могу говорить об; не могу рассказать; не могу поделиться; не могу написать; не смогу ответить; не смогу помочь;
+i cannot help; i cant help; i can not help; cannot help with; i cannot answer; i cant answer; i am not able to; im not able to; i am unable to; im unable to; i must decline; decline to discuss; against my guidelines; i cannot provide; i cant provide; i cannot assist; i cant assist; i wont be able to; i refuse to; i cannot do that; i cant do that; i cannot discuss; i cant discuss; i cannot share; i cant share; i cannot write; i cant write; i will not answer; i wont answer; i would rather not; id rather not; i cannot fulfill; i cant fulfill; i cannot comply; i cant comply;
+je ne peux pas répondre; je ne suis pas en mesure; je refuse de; je préfère ne pas; je ne répondrai pas; ich kann nicht antworten; ich möchte nicht antworten; ich kann das nicht; ich darf nicht; das kann ich nicht beantworten; не буду відповідати; ich kann dabei nicht helfen; ich muss ablehnen; не можу відповісти; не можу допомогти
 """
 #: Sentences that end in an ellipsis and are complete all the same, as runs of small words.
 WHOLE_ELLIPSES = (" կախված է ընթերցողից", " և այլն", " եւ այլն", " և այլք", " и так далее", " и тому подобное", " и т д", " and so on", " and so forth", " etc", " et cetera", " und so weiter", " usw")

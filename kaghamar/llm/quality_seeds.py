@@ -118,4 +118,26 @@ def seeds() -> dict[tuple[str, str], list[str]]:
     add("junk", "style", ".menu-3{margin:2px 0 9px;color:#e48e9b}\n#top9 li a:hover{padding:1em}\n.box p{font-size:12px;border:1px solid #ccc}")
     add("junk", "program", "var a=document.getElementById('b1');if(a){a.style.display='none';}function f1(x){return x*7;}//var a=document.getElementById('b1');")
     add("junk", "program", "for (int i = 0; i < n; i++) { sum += a[i] * b[i]; }\nreturn sum / n;\nprintf(\"%d\\n\", sum);")
+    for text in (
+        "import os\n\ndef read(path, size=10):\n    with open(path) as file:\n        rows = file.readlines()\n    return [x.strip() for x in rows if len(x) > size]\n",
+        "class Box:\n    def __init__(self, a, b):\n        self.a = a\n        self.b = b\n\n    def sum(self):\n        return self.a + self.b\n",
+        "for name in names:\n    if name not in seen:\n        seen.add(name)\n        print(name)\n    else:\n        count += 1\nexit(0)\n",
+        "def main():\n    values = [1, 2, 3]\n    best = None\n    for v in values:\n        if best is None or v > best:\n            best = v\n    print(best)\n",
+    ):
+        add("junk", "program-indented", text)
+    for text in (
+        '{"title": "x", "count": 3, "items": [{"a": 1, "b": 2}, {"a": 5, "b": null}], "done": false}', '[{"id": 1, "v": "a"}, {"id": 2, "v": "b"}, {"id": 3, "v": "c"}]',
+        '{\n  "name": "box",\n  "size": [10, 20],\n  "parts": {"lid": true, "lock": null},\n  "color": "red"\n}', '{"user": {"id": 42, "mail": "a@b.example"}, "roles": ["x", "y"], "age": 30, "ok": true}',
+    ):
+        add("junk", "record", text)
+    for text in (
+        ".box { margin: 0; padding: 5px; }\n.box p { font-size: 12px; color: #333; }\na:hover { text-decoration: underline; }", "body {\n  font-family: Arial;\n  background: #fff;\n  margin: 0 auto;\n}\nh1 {\n  color: red;\n}\n",
+        "#head { width: 100%; border: 1px solid #000; }\n#head .logo { float: left; height: 40px; }",
+    ):
+        add("junk", "style-lines", text)
+    for text in (
+        "SELECT a.id, b.name FROM t1 a JOIN t2 b ON a.id = b.id WHERE a.x > 10 AND b.y IS NULL ORDER BY 1;", "<div class=\"a\"><ul id=\"m\"><li><a href=\"/x\">y</a></li></ul></div><script src=\"z.js\"></script>",
+        "#!/bin/sh\nset -e\nfor f in *.txt; do\n  mv \"$f\" \"${f%.txt}.bak\"\ndone\necho \"ok\" > /dev/null\n", "if (a == b) {\n    c = d[i++];\n} else {\n    return NULL;\n}\nfree(p);\n",
+    ):
+        add("junk", "program-other", text)
     return out

@@ -64,3 +64,17 @@ PERSONAL = [
     ("The temperature reached 35 degrees in July 1999.", []), ("Invoice no. 2231-55-10 was paid.", []), ("Գինը՝ 25 000 դրամ։", []), ("Elm Crescent was closed for repairs.", []), ("Հյուսիսային պողոտան լայն է։", []), ("See https://site.example/a/12 for details.", []), ("ISBN 978-3-16-148410-0", []),
     ("The Northern Hills are covered with snow.", []), ("Article 15 of Law 27 applies.", []), ("Երևանի պետական համալսարանը հիմնադրվել է 1919 թվականին։", []), ("Москва и Новый Уренгой далеко друг от друга.", []), ("Follow @anna_k for news.", []), ("The Great Wall is long.", []), ("Meeting at 10:30 on 12.04.2021.", []),
 ]
+
+#: A second set of problem 1, written after the lexicon was widened and never used to change it.
+ABUSE_AFTER = [
+    ("Keep talking and I'll smash your face in, you clown.", True), ("Those refugees are parasites, throw them into the sea.", True), ("Watch naked teens in our live chat for free.", True), ("You stink, you worthless rat.", True), ("Shut your filthy mouth, bitch.", True),
+    ("Я тебя урою, гнида.", True), ("Негры должны быть рабами, это животные.", True), ("Ты дебил и урод.", True), ("Голые девушки онлайн, секс чат без цензуры.", True), ("Քո գլուխը կկտրեմ, լակոտ։", True), ("Գնչուները գողեր են, բոլորին պետք է վտարել երկրից։", True), ("Դու տգետ դեբիլ ես։", True),
+    ("The refugees crossed the sea in three boats.", False), ("He smashed the record in the last race.", False), ("The clown made the children laugh.", False), ("Rats carry parasites that harm cattle.", False), ("The nurse washed the naked newborn.", False), ("Slaves built the road in Roman times.", False),
+    ("Рабы строили пирамиды.", False), ("Он отрезал кусок хлеба и закрыл окно.", False), ("Բժիշկը կտրեց վիրակապը։", False), ("Գնչուների երգերը հայտնի են ամբողջ երկրում։", False), ("Les enfants jouent dans la rue.", False), ("Die Ratte lief durch den Keller.", False),
+]
+#: The same of problem 10.
+PERSONAL_AFTER = [
+    ("Երեկ մեզ այցելեց Վռամշապուհ Տոնոյանը։", ["name"]), ("The keynote was given by Chidinma Eze.", ["name"]), ("Alasdair McTavish bought the mill.", ["name"]), ("Статью написала Евдокия Пименова.", ["name"]), ("Call 077.45.12.90 after six.", ["phone"]), ("Tel: +44 20 7946 0018", ["phone"]),
+    ("They moved to 4 Rosewood Terrace.", ["address"]), ("Schillerstraße 8 wird renoviert.", ["address"]), ("Հասցեն՝ Նար-Դոսի փողոց 14։", ["address"]), ("mail: k.weber [at] haus [dot] example", ["email"]), ("Паспорт АК 0912345", ["identity"]), ("Սոցքարտ՝ 2304710985", ["identity"]),
+    ("The Blue Mountains are far away.", []), ("Version 2.14.7 was released on 03.11.2020.", []), ("Order 7781-4432 has shipped.", []), ("Բաղրամյան պողոտան փակ է։", []), ("The University of Vienna is old.", []), ("Курс доллара 389,45.", []),
+]
