@@ -33,8 +33,8 @@ REFUSALS = """
 i cannot help; i cant help; i can not help; cannot help with; i cannot answer; i cant answer; i am not able to; im not able to; i am unable to; im unable to; i must decline; decline to discuss; against my guidelines; i cannot provide; i cant provide; i cannot assist; i cant assist; i wont be able to; i refuse to; i cannot do that; i cant do that; i cannot discuss; i cant discuss; i cannot share; i cant share; i cannot write; i cant write; i will not answer; i wont answer; i would rather not; id rather not; i cannot fulfill; i cant fulfill; i cannot comply; i cant comply;
 je ne peux pas répondre; je ne suis pas en mesure; je refuse de; je préfère ne pas; je ne répondrai pas; ich kann nicht antworten; ich möchte nicht antworten; ich kann das nicht; ich darf nicht; das kann ich nicht beantworten; не буду відповідати; ich kann dabei nicht helfen; ich muss ablehnen; не можу відповісти; не можу допомогти
 """
-#: Sentences that end in an ellipsis and are complete all the same, as runs of small words.
-WHOLE_ELLIPSES = (" կախված է ընթերցողից", " և այլն", " եւ այլն", " և այլք", " и так далее", " и тому подобное", " и т д", " and so on", " and so forth", " etc", " et cetera", " und so weiter", " usw")
+#: Runs of small words after which an ellipsis stands for more of the same.
+WHOLE_ELLIPSES = (" և այլն", " եւ այլն", " և այլք", " и так далее", " и тому подобное", " и т д", " and so on", " and so forth", " etc", " et cetera", " und so weiter", " usw")
 ASKS = regex.compile(r"\b(?!հայ)\p{Armenian}{2,}եր[եէ]ն\b|\b(?:in|into|to) (?:English|Russian|French|German|Persian|Georgian|Ukrainian|Spanish|Latin|Greek)\b|по-?(?:русски|английски|французски|немецки)|на (?:русск|английск|французск|немецк)\w+", regex.I)
 STOPWORDS = {
     "hy": "և է էր են որ այդ իսկ քանի երբ ապա եթե պետք ավելի քան մինչև ըստ թե այն այս մի ու բայց սակայն որպեսզի թեև ուստի որովհետև մասին համար իր նա ես դու այո ոչ ev e er en or ayd isk qani erb apa ete petq aveli qan minchev yst te ayn ays mi bayc sakayn orpeszi teev usti orovhetev masin hamar ayo voch och",
@@ -165,6 +165,19 @@ def is_list(text: str) -> bool:
     return len(parts) >= 2 and all(0 < len(w := words_of(p)) <= ENTRY and not VERBS & set(w) for p in parts)
 
 
+def trails_off(text: str, answer: list[str]) -> bool:
+    """Whether an ellipsis ends what is whole: a list that goes on, or a short sentence whose predicate has its complement.
+
+    Such a sentence has a verb, and its last word is a noun in the ablative or instrumental; one that
+    breaks off ends in a word that another must follow, or in a long train of clauses.
+    """
+    if (" " + " ".join(answer[-4:])).endswith(WHOLE_ELLIPSES):
+        return True
+    sentences = [s for s in SENTENCE.split(text.rstrip(" .…")) if s.strip()]
+    last = words_of(sentences[-1]) if sentences else []
+    return 3 <= len(last) <= ENTRY and bool(VERBS & set(last[:-1])) and last[-1].endswith(("ից", "ով"))
+
+
 def truncated(text: str, answer: list[str]) -> bool:
     """Whether the text breaks off before its last sentence, quotation, entry or word is complete."""
     text = text.rstrip().rstrip("​‎⁠﻿").rstrip()
@@ -189,7 +202,7 @@ def truncated(text: str, answer: list[str]) -> bool:
     if tail in ",;՝՛،" or tail in OPENERS:
         return True
     if body.endswith(("…", "...")) and not body.endswith(("։...", "....", "։…")):
-        return not (" " + " ".join(answer[-4:])).endswith(WHOLE_ELLIPSES)
+        return not trails_off(body, answer)
     if tail in TERMINATORS or tail in CLOSERS + "\"'’”":
         return False
     if is_list(body):
