@@ -246,14 +246,15 @@ def _suffixes(texts: DataFrame, seen: np.ndarray) -> DataFrame:
 
 def _dealt(segments: DataFrame, suffixes: DataFrame, part_rows: int) -> DataFrame:
     """Both sides with (look, i, j): a look with many rows is cut into i parts of segments and j of suffixes, and each meets each."""
-    frequent = []
+    frequent = {}
     for name, rows in (("a", segments), ("b", suffixes)):
-        counts = rows.groupBy("look").agg(F.count("*").alias("n")).filter(F.col("n") > part_rows)
-        frequent.append(small(counts.select("look", F.ceil(F.col("n") / part_rows).cast("int").alias(name))))
+        if rows.count() > part_rows:  # told by the table's own figures; else no look can have more
+            counts = rows.groupBy("look").agg(F.count("*").alias("n")).filter(F.col("n") > part_rows)
+            frequent[name] = small(counts.select("look", F.ceil(F.col("n") / part_rows).cast("int").alias(name)))
     out = None
     for is_eval, rows in ((False, segments), (True, suffixes)):
-        for parts in frequent:
-            rows = rows.join(parts, "look", "left")
+        for name in ("a", "b"):
+            rows = rows.join(frequent[name], "look", "left") if name in frequent else rows.withColumn(name, F.lit(1))
         a, b = F.coalesce("a", F.lit(1)), F.coalesce("b", F.lit(1))
         own, other = (b, a) if is_eval else (a, b)
         # the places of one evaluation text stay together, so that a segment meets a text in one part

@@ -224,3 +224,21 @@ def test_runs_of_the_suffix_array_end_with_the_common_prefix():
             run = {(int(t), int(p)) for t, p in zip(array.rows["text_id"][a:b], array.rows["place"][a:b])}
             span = words[row][place : place + n]
             assert run == {(i, p) for i, w in enumerate(words) for p in range(len(w) - n + 1) if w[p : p + n] == span and (first == 3 or len(w) <= overlap.TWO_WORDS)}
+
+
+def test_a_look_of_a_third_of_all_rows_is_split(spark):
+    """Whatever share of the rows one look has, no part takes more than its bound of either side."""
+    columns = "look long, fourth long, span long, length int, text_id long, place int, size int, mark0 long, mark1 long"
+    rows = lambda n: [(0 if i % 3 == 0 else i, 0, 0, 3, i, 0, 9, 0, 0) for i in range(n)]
+    segments, suffixes = spark.createDataFrame(rows(3000), columns), spark.createDataFrame(rows(900), columns)
+    dealt = overlap._dealt(segments, suffixes, 100)
+    counts = dealt.groupBy("look", "i", "j").agg(F.sum((~F.col("is_eval")).cast("int")).alias("a"), F.sum(F.col("is_eval").cast("int")).alias("b")).filter("look = 0").collect()
+    assert len(counts) == 10 * 3 and max(r["a"] for r in counts) < 200 and max(r["b"] for r in counts) < 200
+    # each segment meets each suffix of its look once
+    assert sum(r["a"] * r["b"] for r in counts) == 1000 * 300
+
+
+def test_a_record_of_a_third_of_all_rows_is_split(spark):
+    texts = ["the same, text" if i % 3 == 0 else f"other {i}" for i in range(900)]
+    found = {tuple(r) for r in formatting.formatting_copies(frame(spark, texts), "k", "t", salt_rows=40).collect()}
+    assert found == {(0, i) for i in range(3, 900, 3)}
