@@ -185,15 +185,12 @@ class Centroids:
         lang[(lang == "hy") & _latin(units)] = "hy-Latn"  # hy in Latin letters is a class of its own until it is named
         use = ok & ((lang != "hy-Latn") | sure)
         for k in (1, CENTROIDS, CENTROIDS):
-            self._fit(u, b, value, lang, use, k)
-            best = self.classes[self._dots(u, b, value, self.weights, len(units.words)).argmax(1)]
+            self._fit(u, b, value, lang, use, k, units.script)
+            best = self.classes[self._near(u, b, value, units.script).argmax(1)]
             use = ok & ((best == lang) | sure)
-        self._fit(u, b, value, lang, use, CENTROIDS)
-        #: The centroids that units of each script may be near to.
-        pairs = {(s, x) for s, x, y in zip(units.script.tolist(), lang, use) if y}
-        self.columns = {s: np.flatnonzero([(s, x) in pairs for x in self.classes]) for s in range(len(SCRIPTS) + 1)}
+        self._fit(u, b, value, lang, use, CENTROIDS, units.script)
 
-    def _fit(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, lang: np.ndarray, ok: np.ndarray, k: int) -> None:
+    def _fit(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, lang: np.ndarray, ok: np.ndarray, k: int, script: np.ndarray) -> None:
         columns, names, least = [], [], []
         for name in sorted({x for x in lang[ok]}):
             members = np.flatnonzero(ok & (lang == name))
@@ -225,6 +222,10 @@ class Centroids:
             names += [name] * n
             least += [float(np.quantile(dots[near == j, j], 0.02)) if (near == j).any() else 1.0 for j in range(n)]
         self.classes = np.array(names, object)
+        #: The centroids that units of each script may be near to.
+        pairs = set(zip(script[ok].tolist(), lang[ok]))
+        self.columns = {s: np.flatnonzero([(s, x) in pairs for x in names]) for s in range(len(SCRIPTS) + 1)}
+        self._narrow = {}
         self.known = np.array([not x.startswith("~") for x in names])
         self.langs = np.array([x.split("-")[0] for x in names], object)
         names = self.langs.tolist()
@@ -254,7 +255,20 @@ class Centroids:
         return picked
 
     def _nearest(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, script: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(language's number, confidence, accepted) of each unit; a script of -1 means that any centroid may be near."""
+        """(language's number, confidence, accepted) of each unit."""
+        rows = len(script)
+        dots = self._near(u, b, value, script)
+        strange = dots[:, ~self.known].max(1, initial=0)
+        best = np.where(self.known, dots, -1).argmax(1)
+        top = dots[np.arange(rows), best]
+        per_lang = np.stack([dots[:, self.group == g].max(1) for g in range(len(self.order))], 1)
+        per_lang[np.arange(rows), self.group[best]] = 0
+        second = np.maximum(per_lang.max(1), 0) if per_lang.shape[1] else np.zeros(rows)
+        confidence = np.where(top > 0, top / np.maximum(top + second, 1e-9), 0)
+        return self.group[best], confidence, (top >= self.least[best]) & (strange <= MARGIN * top)
+
+    def _near(self, u: np.ndarray, b: np.ndarray, value: np.ndarray, script: np.ndarray) -> np.ndarray:
+        """[unit, centroid]: the similarities; a script of -1 means that any centroid may be near."""
         rows = len(script)
         dots = np.zeros((rows, len(self.classes)), np.float32)
         place = np.zeros(rows, np.int64)
@@ -265,21 +279,13 @@ class Centroids:
                 place[mine] = np.arange(len(mine))
                 some = script[u] == s
                 dots[np.ix_(mine, columns)] = self._dots(place[u[some]], b[some], value[some], self.narrow(s, columns), len(mine))
-        strange = dots[:, ~self.known].max(1, initial=0)
-        best = np.where(self.known, dots, -1).argmax(1)
-        top = dots[np.arange(rows), best]
-        per_lang = np.stack([dots[:, self.group == g].max(1) for g in range(len(self.order))], 1)
-        per_lang[np.arange(rows), self.group[best]] = 0
-        second = np.maximum(per_lang.max(1), 0) if per_lang.shape[1] else np.zeros(rows)
-        confidence = np.where(top > 0, top / np.maximum(top + second, 1e-9), 0)
-        return self.group[best], confidence, (top >= self.least[best]) & (strange <= MARGIN * top)
+        return dots
 
     def narrow(self, script: int, columns: np.ndarray) -> np.ndarray:
         """The weights of some columns, side by side in memory."""
-        cache = self.__dict__.setdefault("_narrow", {})
-        if script not in cache:
-            cache[script] = np.ascontiguousarray(self.weights[:, columns])
-        return cache[script]
+        if script not in self._narrow:
+            self._narrow[script] = np.ascontiguousarray(self.weights[:, columns])
+        return self._narrow[script]
 
     def classify(self, unit: np.ndarray, bucket: np.ndarray, script: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(language's number, confidence, accepted, has grams) of units given their grams and scripts."""
